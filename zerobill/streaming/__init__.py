@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The alarm job is a monthly batch over closed months; it has no sources,
+watermarks, windows or state that arrive over time, so nothing is built
+here. A scheduler runs ``zerobill.plans.job.run_month`` once per month.
+"""
