@@ -21,6 +21,7 @@ JOB_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.orc.compression.codec": "snappy",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
