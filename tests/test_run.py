@@ -1,0 +1,50 @@
+"""Run-date arithmetic."""
+
+import datetime as dt
+
+import pytest
+
+from zerobill.run import FIXTURE_RUN, RunContext
+
+
+def test_fixture_window():
+    assert FIXTURE_RUN.window_bounds() == (dt.date(2001, 1, 1), dt.date(2001, 8, 1))
+    assert FIXTURE_RUN.period == "200107"
+    assert FIXTURE_RUN.month_columns() == [
+        ("mes_6", "200101"),
+        ("mes_5", "200102"),
+        ("mes_4", "200103"),
+        ("mes_3", "200104"),
+        ("mes_2", "200105"),
+        ("mes_1", "200106"),
+        ("mes_atual", "200107"),
+    ]
+
+
+@pytest.mark.parametrize(
+    "run_date, period, first",
+    [
+        (dt.date(2024, 3, 1), "202402", "202308"),
+        (dt.date(2024, 3, 31), "202402", "202308"),  # month-end: day clamps, month does not
+        (dt.date(2024, 2, 29), "202401", "202307"),
+        (dt.date(2025, 1, 10), "202412", "202406"),  # January crosses the year
+    ],
+)
+def test_month_keys(run_date, period, first):
+    ctx = RunContext(run_date)
+    assert ctx.period == period
+    assert ctx.month_key(7) == first
+    start, end = ctx.window_bounds()
+    assert start.strftime("%Y%m") == first and start.day == 1
+    assert end == run_date.replace(day=1)
+
+
+def test_month_keys_match_spark_add_months(spark):
+    from pyspark.sql import functions as F
+
+    for day in [dt.date(2024, 3, 31), dt.date(2024, 2, 29), dt.date(2025, 1, 1), dt.date(2023, 12, 31)]:
+        ctx = RunContext(day)
+        row = spark.range(1).select(
+            *[F.date_format(F.add_months(F.lit(day), -k), "yyyyMM").alias(f"m{k}") for k in range(1, 8)]
+        ).first()
+        assert [row[f"m{k}"] for k in range(1, 8)] == [ctx.month_key(k) for k in range(1, 8)]

@@ -153,8 +153,18 @@ def alarm_factor_rows() -> list[tuple]:
     ]
 
 
+def inline_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small constant table planned in the JVM (no Python RDD), so the
+    planner knows it is tiny and broadcasts it."""
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+        for row in rows
+    ]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
+
+
 def alarm_factor(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(alarm_factor_rows(), schemas.ALARM_FACTOR)
+    return inline_table(spark, alarm_factor_rows(), schemas.ALARM_FACTOR)
 
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
