@@ -22,6 +22,8 @@ JOB_CONF = {
     "spark.sql.orc.compression.codec": "snappy",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # no Python call-site capture per Column call while building plans
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -49,8 +49,18 @@ DECOY_RULES = (
 # ---------------------------------------------------------------------------
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+class TestTables:
+    """The driver's parquet tables in one folder, each opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._frames[name]
 
 
 def _money(c: Column) -> Column:
@@ -65,10 +75,10 @@ def _category(custkey: Column) -> Column:
     return (F.lit(10) + custkey % 14).cast(T.StringType())
 
 
-def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    r = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+def customer(tables: TestTables) -> DataFrame:
+    c = tables["customer"].select("c_custkey", "c_nationkey")
+    n = tables["nation"].select("n_nationkey", "n_regionkey")
+    r = tables["region"].select("r_regionkey", "r_name")
     key = F.col("c_custkey")
     base = (
         c.filter(key % 20 != 0)
@@ -93,9 +103,9 @@ def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(base.unionByName(extra), schemas.CUSTOMER, "customer")
 
 
-def billing_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = _table(spark, sf_dir, "lineitem")
-    orders = _table(spark, sf_dir, "orders").select(
+def billing_line(tables: TestTables) -> DataFrame:
+    line = tables["lineitem"]
+    orders = tables["orders"].select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
     )
     price = _money(F.col("l_extendedprice"))
@@ -122,8 +132,8 @@ def billing_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(out, schemas.BILLING_LINE, "billing_line")
 
 
-def tax_line(spark: SparkSession, sf_dir: str, system: int) -> DataFrame:
-    line = _table(spark, sf_dir, "lineitem")
+def tax_line(tables: TestTables, system: int) -> DataFrame:
+    line = tables["lineitem"]
     price = _money(F.col("l_extendedprice"))
     out = line.filter(F.col("l_suppkey") % 2 == system % 2).select(
         F.col("l_orderkey").alias("bill_ref_no"),
@@ -153,14 +163,21 @@ def alarm_factor_rows() -> list[tuple]:
     ]
 
 
+def _sql_literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
 def inline_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """A small constant table planned in the JVM (no Python RDD), so the
-    planner knows it is tiny and broadcasts it."""
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
-        for row in rows
-    ]
-    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
+    """A small constant table as a SQL ``VALUES`` list: planned as a local
+    relation with exact statistics, so the planner knows it is tiny."""
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    names = ", ".join(f.name for f in schema.fields)
+    table = spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+    return conform(table, schema, "inline table")
 
 
 def alarm_factor(spark: SparkSession) -> DataFrame:
@@ -168,10 +185,11 @@ def alarm_factor(spark: SparkSession) -> DataFrame:
 
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    tables = TestTables(spark, sf_dir)
     return Sources(
-        customer=customer(spark, sf_dir),
-        billing_line=billing_line(spark, sf_dir),
-        tax_line_1=tax_line(spark, sf_dir, 1),
-        tax_line_2=tax_line(spark, sf_dir, 2),
+        customer=customer(tables),
+        billing_line=billing_line(tables),
+        tax_line_1=tax_line(tables, 1),
+        tax_line_2=tax_line(tables, 2),
         alarm_factor=alarm_factor(spark),
     )
