@@ -109,12 +109,14 @@ def qualifying_tax(tax_lines: DataFrame) -> Column:
 def system_invoice_tax(tax_lines: DataFrame, billing: DataFrame | None) -> DataFrame:
     """Tax per invoice of one billing system, latest snapshot, in currency units.
 
-    ``billing=None`` skips the billed-invoice restriction; see ``invoice_tax``.
+    The billed-invoice restriction (``billing`` given) is keyed on the same
+    column as the aggregate, so it is applied to the per-invoice result: the
+    tax lines are pre-aggregated map-side before any shuffle, and the
+    semi-join reuses the aggregate's partitioning. ``billing=None`` skips the
+    restriction; see ``invoice_tax``.
     """
     lines = latest_snapshot(tax_lines)
-    if billing is not None:
-        lines = restrict_to_billed(lines, billing)
-    return (
+    per_invoice = (
         lines.filter(qualifying_tax(lines))
         .groupBy("bill_ref_no")
         .agg(
@@ -123,6 +125,9 @@ def system_invoice_tax(tax_lines: DataFrame, billing: DataFrame | None) -> DataF
             .alias("tax")
         )
     )
+    if billing is not None:
+        per_invoice = restrict_to_billed(per_invoice, billing)
+    return per_invoice
 
 
 def invoice_tax(
