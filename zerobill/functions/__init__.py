@@ -7,6 +7,7 @@ from zerobill.functions.business import (
     level_upper,
     mean_variation,
     month_key,
+    month_start,
     segment,
     six_month_mean,
     state_key,
@@ -21,6 +22,7 @@ __all__ = [
     "level_upper",
     "mean_variation",
     "month_key",
+    "month_start",
     "segment",
     "six_month_mean",
     "state_key",

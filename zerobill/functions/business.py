@@ -74,6 +74,12 @@ def month_key(ts: Column | str) -> Column:
     return F.date_format(_col(ts), MONTH_FORMAT)
 
 
+def month_start(ts: Column | str) -> Column:
+    """First day of the month (a date): a fixed-width grouping key with the
+    same partition of rows as ``month_key``, formatted only after grouping."""
+    return F.trunc(_col(ts).cast(T.DateType()), "month")
+
+
 def variation(newer: Column | str, older: Column | str) -> Column:
     """Unrounded month-over-month variation ``newer / older - 1``; NULL when older is 0."""
     return F.try_divide(_col(newer), _col(older)) - F.lit(1)

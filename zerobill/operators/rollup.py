@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zerobill.functions import month_key, segment, tax_or_zero
+from zerobill.functions import month_key, month_start, segment, tax_or_zero
 from zerobill.run import RunContext
 from zerobill.schemas import INVOICE_TAX_TYPE
 
@@ -65,15 +65,27 @@ def billable(billing: DataFrame) -> Column:
 
 
 def monthly_billing(billing: DataFrame, ctx: RunContext) -> DataFrame:
-    """Billing lines of the window rolled up to month x invoice x account."""
+    """Billing lines of the window rolled up to month x invoice x account.
+
+    Lines are grouped by the month's first day and the ``yyyyMM`` text is
+    formatted once per output row instead of once per line.
+    """
     return (
         billing.filter(in_window(billing, ctx) & billable(billing))
-        .groupBy(month_key("prep_date").alias("prep_date"), "bill_ref_no", "account_no")
+        .groupBy(month_start("prep_date").alias("_month"), "bill_ref_no", "account_no")
         .agg(
             F.sum("amount").alias("sum_amount"),
             F.sum("tax").alias("sum_tax"),
             F.sum("discount").alias("sum_discount"),
         )
+        .select(
+            month_key("_month").alias("prep_date"),
+            "bill_ref_no",
+            "account_no",
+            "sum_amount",
+            "sum_tax",
+            "sum_discount",
+        )
     )
 
 

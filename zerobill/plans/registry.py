@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zerobill.functions import month_key, state_key
+from zerobill.functions import month_key, month_start, state_key
 from zerobill.functions.business import default_segment
 from zerobill.operators import alarm as A
 from zerobill.operators import rollup as R
@@ -120,10 +120,13 @@ def q18_month_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = plan_for(spark, sf_dir)
     billing = plan.sources.billing_line
     lines = billing.filter(R.in_window(billing, plan.ctx) & R.billable(billing))
-    counts = lines.groupBy(month_key("prep_date").alias("prep_date")).agg(
+    counts = lines.groupBy(month_start("prep_date").alias("_month")).agg(
         F.count(F.lit(1)).alias("n_lines")
     )
-    return counts.withColumn("is_period", F.col("prep_date") == F.lit(plan.ctx.period))
+    month = month_key("_month")
+    return counts.select(
+        month.alias("prep_date"), "n_lines", (month == F.lit(plan.ctx.period)).alias("is_period")
+    )
 
 
 def q19_month_variation(spark: SparkSession, sf_dir: str) -> DataFrame:
