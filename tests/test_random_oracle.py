@@ -31,6 +31,8 @@ RULE_POOL = [
     rule_row("PAT0501402", "ESTADO", "B2B", "ASIA", 0.25, 0.05),
     rule_row("PAT0501405", "ESTADO", "B2C", "SEM UF", 0.0, 0.5),
     rule_row("PAT0501406", "ESTADO", "B2C", "EUROPE", None, None),
+    rule_row("PAT0501407", "ESTADO", "B2B", "ASIA", None, 0.1),
+    rule_row("PAT0501502", "PERIODO", "B2C", "PERIODO", 0.2, None),
     rule_row("PAT0501501", "PERIODO", "B2B", "PERIODO", 0.25, 0.25),
     rule_row("PAT0501503", "PERIODO", "B2C", "PERIODO", 0.1, 0.3),
     rule_row("PAT0501505", "PERIODO", "USO PROPRIO", "PERIODO", 0.5, 0.5),

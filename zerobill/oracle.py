@@ -1,8 +1,9 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
-The SQL follows the job statement by statement, the plain way: join first,
-aggregate later, DISTINCT + inner join for the billed-invoice restriction,
-no pre-aggregation tricks. It runs on the raw test tables (``region nation
+The SQL states each stage the plain way: rules are joined to the counter
+rows first and counted afterwards, the snapshot and billed-invoice
+restrictions are subqueries, and no stage is pre-aggregated or skipped, so
+it checks the rewrites the Spark plan relies on. It runs on the raw test tables (``region nation
 customer orders lineitem`` are views) through the same fixture adapter as
 ``zerobill.sources.fixture``, written again in SQL.
 
@@ -54,84 +55,86 @@ def _tax_source(system: int) -> str:
     FROM lineitem WHERE l_suppkey % 2 = {system % 2}"""
 
 
-def _tax_staging(system: int) -> str:
+def _system_tax(system: int) -> str:
     return f"""
-    SELECT a.bill_ref_no,
-           CAST(round(sum(a.federal_tax) * 0.01, 2) AS DECIMAL(29,2)) AS tax
-    FROM src_tax_{system} a
-    JOIN (SELECT max(dt_foto) AS dt_foto FROM src_tax_{system}) b ON a.dt_foto = b.dt_foto
-    JOIN (SELECT DISTINCT bill_ref_no FROM src_billing) c ON a.bill_ref_no = c.bill_ref_no
-    WHERE a.tax_type_code >= 1000000 AND a.tax_type_code < 4000000 AND a.federal_tax > 0
-    GROUP BY a.bill_ref_no"""
-
-
-_STATE_KEY = "CASE WHEN a.cust_state IS NULL THEN 'SEM UF' WHEN a.cust_state = 'NULL' THEN 'SEM UF' ELSE a.cust_state END"
-_RULE_GROUP = "b.cod, b.tipo, b.sistema, b.etapa, b.fator_perc_inf, b.fator_perc_sup, b.fator_num_inf, b.fator_num_sup, b.fator_perc_composto, b.ponto"
-_COUNTS = """CAST(count(a.mes_atual) AS BIGINT) AS valor,
-           CAST(count(a.mes_1) AS BIGINT) AS valor_mes_ant_1,
-           CAST(count(a.mes_2) AS BIGINT) AS valor_mes_ant_2,
-           CAST(count(a.mes_3) AS BIGINT) AS valor_mes_ant_3,
-           CAST(count(a.mes_4) AS BIGINT) AS valor_mes_ant_4,
-           CAST(count(a.mes_5) AS BIGINT) AS valor_mes_ant_5,
-           CAST(count(a.mes_6) AS BIGINT) AS valor_mes_ant_6"""
-
-
-def _ratio(newer: str, older: str) -> str:
-    return f"(CAST({newer} AS DOUBLE) / NULLIF({older}, 0) - 1)"
-
-
-def _alarm_select(item: str, with_ts: bool) -> str:
-    c = ["valor"] + [f"valor_mes_ant_{k}" for k in range(1, 7)]
-    v = [_ratio(c[k], c[k + 1]) for k in range(6)]
-    mean = f"(CAST({' + '.join(c[1:])} AS DOUBLE) / 6)"
-    lower = f"({mean} - {mean} * fator_perc_inf)"
-    upper = f"({mean} + {mean} * fator_perc_sup)"
-    mean_var = (
-        f"abs(coalesce({v[0]}, 0) + "
-        + " + ".join(f"abs(coalesce({x}, 0))" for x in v[1:])
-        + ") / 6"
-    )
+    SELECT bill_ref_no, CAST(round(sum(federal_tax) * 0.01, 2) AS DECIMAL(29,2)) AS tax
+    FROM src_tax_{system}
+    WHERE dt_foto = (SELECT max(dt_foto) FROM src_tax_{system})
+      AND bill_ref_no IN (SELECT bill_ref_no FROM src_billing)
+      AND tax_type_code >= 1000000 AND tax_type_code < 4000000
+      AND federal_tax > 0
+    GROUP BY bill_ref_no"""
+
+
+def _shown_state(col: str) -> str:
+    return f"coalesce(nullif({col}, 'NULL'), 'SEM UF')"
+
+
+_RULE_COLS = ("code", "kind", "system_name", "stage", "inf", "sup", "num_inf", "num_sup",
+              "composite", "point")
+_RULE_SELECT = ", ".join(
+    f"r.{src} AS {dst}" for src, dst in zip(
+        ("cod", "tipo", "sistema", "etapa", "fator_perc_inf", "fator_perc_sup", "fator_num_inf",
+         "fator_num_sup", "fator_perc_composto", "ponto"), _RULE_COLS)
+)
+_RULE_GROUP = ", ".join(
+    "r." + c for c in ("cod", "tipo", "sistema", "etapa", "fator_perc_inf", "fator_perc_sup",
+                       "fator_num_inf", "fator_num_sup", "fator_perc_composto", "ponto")
+)
+_MONTH_COUNTS = ",\n           ".join(
+    f"count({m})::BIGINT AS n{k}" for k, m in enumerate(["cur"] + [f"m{k}" for k in range(1, 7)])
+)
+
+
+def _alarm_select(source: str, item: str, with_ts: bool) -> str:
+    n = [f"n{k}" for k in range(7)]
+    ratio = [f"(n{k}::DOUBLE / NULLIF(n{k + 1}, 0) - 1)" for k in range(6)]
+    mean_var = "abs(" + " + ".join(
+        [f"coalesce({ratio[0]}, 0)"] + [f"abs(coalesce({x}, 0))" for x in ratio[1:]]) + ") / 6"
     var_cols = ",\n           ".join(
-        f"{_round2(v[k - 1])} AS var_mes_ant_{k}, valor_mes_ant_{k}" for k in range(1, 7)
+        f"{_round2(ratio[k - 1])} AS var_mes_ant_{k}, n{k} AS valor_mes_ant_{k}"
+        for k in range(1, 7)
     )
     ts = f"{RUN_TS} AS data_alarme,\n           " if with_ts else ""
-    zero = "CAST(0 AS INTEGER)"
+    zi = "0::INTEGER"
     return f"""
-    SELECT tipo_cliente AS segmento,
+    SELECT segment AS segmento,
            'SEM INFO' AS tipo_cliente,
            {item} AS item_alarme,
            {item} AS produto,
            'SEM CLASSIFICACAO' AS tipo_fat,
            {_month(1)} AS periodo,
-           valor,
-           CAST(0.0 AS DOUBLE) AS media_valor,
-           {zero} AS media_quant,
-           {zero} AS dif_media_valor_x_quant,
+           n0 AS valor,
+           0.0::DOUBLE AS media_valor,
+           {zi} AS media_quant,
+           {zi} AS dif_media_valor_x_quant,
            {var_cols},
            {_round2(mean_var)} AS med_var_mes,
-           cod, tipo,
+           code AS cod, kind AS tipo,
            'Fatura Zerada - Patamar' AS assunto,
            'n' AS redutor,
-           sistema, etapa,
-           {_round2(mean)} AS media_meses,
-           {_round2(lower)} AS limite_inferior,
-           {_round2(upper)} AS limite_superior,
-           {zero} AS imp_x_fat_atual,
-           {zero} AS imp_x_fat_media,
-           fator_perc_inf, fator_perc_sup, fator_num_inf, fator_num_sup, fator_perc_composto,
-           CASE WHEN valor < {lower} THEN 's' WHEN valor > {upper} THEN 's' ELSE 'n' END AS flag_alarme,
-           CASE WHEN valor < {lower} THEN 'Normal'
-                WHEN valor > {upper} THEN 'Ultrapassou Limite Superior'
+           system_name AS sistema, stage AS etapa,
+           {_round2("avg6")} AS media_meses,
+           {_round2("low")} AS limite_inferior,
+           {_round2("high")} AS limite_superior,
+           {zi} AS imp_x_fat_atual,
+           {zi} AS imp_x_fat_media,
+           inf AS fator_perc_inf, sup AS fator_perc_sup, num_inf AS fator_num_inf,
+           num_sup AS fator_num_sup, composite AS fator_perc_composto,
+           CASE WHEN n0 < low OR n0 > high THEN 's' ELSE 'n' END AS flag_alarme,
+           CASE WHEN (n0 < low) IS NOT TRUE AND n0 > high THEN 'Ultrapassou Limite Superior'
                 ELSE 'Normal' END AS alarme,
-           ponto,
+           point AS ponto,
            'Quantidade Fatura' AS referencia_valor,
            'Faturamento - Outros' AS rel_ind_produto,
            'SEM CLASS' AS tecnologia,
-           {ts}{zero} AS quant, {zero} AS quant_mes_ant, {zero} AS quant_med,
-           {zero} AS limite_inferior_quant, {zero} AS limite_superior_quant,
-           {zero} AS fator_perc_inf_quant, {zero} AS fator_perc_sup_quant,
-           {zero} AS arpu, {zero} AS arpu_mes_ant,
-           'MENSAL' AS periodicidade"""
+           {ts}{zi} AS quant, {zi} AS quant_mes_ant, {zi} AS quant_med,
+           {zi} AS limite_inferior_quant, {zi} AS limite_superior_quant,
+           {zi} AS fator_perc_inf_quant, {zi} AS fator_perc_sup_quant,
+           {zi} AS arpu, {zi} AS arpu_mes_ant,
+           'MENSAL' AS periodicidade
+    FROM (SELECT *, avg6 - avg6 * inf AS low, avg6 + avg6 * sup AS high
+          FROM (SELECT *, ({" + ".join(n[1:])})::DOUBLE / 6 AS avg6 FROM {source}))"""
 
 
 def _adapter_ctes() -> str:
@@ -179,96 +182,92 @@ src_rules AS (
 
 def _stage_ctes() -> str:
     """The job's stages over ``src_customer src_billing src_tax_1 src_tax_2 src_rules``."""
-    months = ",\n           ".join(
-        f"MAX(CASE WHEN prep_date = {_month(off)} THEN sum_amount ELSE NULL END) AS {name}"
+    pivot = ",\n           ".join(
+        f"max(sum_amount) FILTER (WHERE prep_date = {_month(off)}) AS {name}"
         for name, off in [(f"mes_{k}", k + 1) for k in range(6, 0, -1)] + [("mes_atual", 1)]
     )
+    segments = ", ".join(
+        f"('{code}', '{name}')" for codes, name in (
+            (("12", "13", "14", "15", "21", "22"), "B2B"),
+            (("17", "18", "19", "20"), "CONTAS N FATURAVEIS"),
+            (("16",), "USO PROPRIO"),
+        ) for code in codes
+    )
+    counter_cols = "mes_atual AS cur, " + ", ".join(f"mes_{k} AS m{k}" for k in range(1, 7))
     return f"""
-cliente AS (
-    SELECT account_no, cust_state,
-           CASE WHEN account_category IN ('12', '13', '14', '15', '21', '22') THEN 'B2B'
-                WHEN account_category IN ('17', '18', '19', '20') THEN 'CONTAS N FATURAVEIS'
-                WHEN account_category IN ('16') THEN 'USO PROPRIO'
-                ELSE 'B2C' END AS tipo_cliente,
-           CAST(count(*) AS BIGINT) AS qtde
-    FROM src_customer
-    GROUP BY 1, 2, 3
+segment_codes AS (
+    SELECT * FROM (VALUES {segments}) AS v(code, segment_name)
 ),
-fat AS (
-    SELECT strftime(f.prep_date, '%Y%m') AS prep_date, f.bill_ref_no, f.account_no,
-           CAST(sum(f.amount) AS DECIMAL(28,2)) AS sum_amount,
-           CAST(sum(f.tax) AS DECIMAL(33,4)) AS sum_tax,
-           CAST(sum(f.discount) AS DECIMAL(33,4)) AS sum_discount
-    FROM src_billing f
-    WHERE f.prep_status = '1'
-      AND f.type_code IN (2, 3, 6, 7)
-      AND strftime(f.prep_date, '%Y%m') >= {_month(7)}
-      AND strftime(f.prep_date, '%Y%m') <= {_month(1)}
-      AND f.backout_status = '0'
-      AND (f.prep_error_code IS NULL OR f.prep_error_code = 0)
-    GROUP BY 1, 2, 3
+customer_seg AS (
+    SELECT c.account_no, c.cust_state, coalesce(s.segment_name, 'B2C') AS tipo_cliente,
+           count(*)::BIGINT AS qtde
+    FROM src_customer c LEFT JOIN segment_codes s ON c.account_category = s.code
+    GROUP BY ALL
 ),
-tax_2 AS ({_tax_staging(2)}
+billing_month AS (
+    SELECT strftime(prep_date, '%Y%m') AS prep_date, bill_ref_no, account_no,
+           sum(amount)::DECIMAL(28,2) AS sum_amount,
+           sum(tax)::DECIMAL(33,4) AS sum_tax,
+           sum(discount)::DECIMAL(33,4) AS sum_discount
+    FROM src_billing
+    WHERE prep_status = '1' AND backout_status = '0'
+      AND type_code IN (2, 3, 6, 7)
+      AND coalesce(prep_error_code, 0) = 0
+      AND strftime(prep_date, '%Y%m') BETWEEN {_month(7)} AND {_month(1)}
+    GROUP BY ALL
 ),
-tax_1 AS ({_tax_staging(1)}
+invoice_tax AS ({_system_tax(2)}
+    UNION ALL{_system_tax(1)}
 ),
-impostos AS (
-    SELECT * FROM tax_2 UNION ALL SELECT * FROM tax_1
+billing_tax AS (
+    SELECT b.prep_date, b.bill_ref_no, b.account_no, b.sum_amount,
+           coalesce(t.tax, 0)::DECIMAL(29,2) AS sum_tax, b.sum_discount
+    FROM billing_month b LEFT JOIN invoice_tax t USING (bill_ref_no)
 ),
-pre_fat AS (
-    SELECT a.prep_date, a.bill_ref_no, a.account_no, a.sum_amount,
-           CAST(CASE WHEN b.tax IS NULL THEN 0 ELSE b.tax END AS DECIMAL(29,2)) AS sum_tax,
-           a.sum_discount
-    FROM fat a LEFT JOIN impostos b ON a.bill_ref_no = b.bill_ref_no
+enriched AS (
+    SELECT b.prep_date, b.bill_ref_no, b.account_no, c.cust_state, c.tipo_cliente,
+           b.sum_amount, b.sum_tax, b.sum_discount
+    FROM billing_tax b LEFT JOIN customer_seg c ON b.account_no = c.account_no
 ),
-fat_cli AS (
-    SELECT f.prep_date, f.bill_ref_no, f.account_no, g.cust_state, g.tipo_cliente,
-           f.sum_amount, f.sum_tax, f.sum_discount
-    FROM pre_fat f LEFT JOIN cliente g ON f.account_no = g.account_no
+zero_inv AS (
+    SELECT * FROM enriched WHERE sum_amount = 0
 ),
-zerada AS (
-    SELECT * FROM fat_cli WHERE sum_amount = 0
+counter AS (
+    SELECT coalesce(tipo_cliente, 'B2C') AS tipo_cliente, cust_state, bill_ref_no,
+           {pivot},
+           count(*)::BIGINT AS qtde
+    FROM zero_inv
+    GROUP BY zero_inv.tipo_cliente, cust_state, bill_ref_no
 ),
-contador AS (
-    SELECT CASE WHEN z.tipo_cliente IS NULL THEN 'B2C' ELSE z.tipo_cliente END AS tipo_cliente,
-           z.cust_state, z.bill_ref_no,
-           {months},
-           CAST(count(*) AS BIGINT) AS qtde
-    FROM zerada z
-    GROUP BY z.tipo_cliente, z.cust_state, z.bill_ref_no
+scoped_rules AS (
+    SELECT * FROM src_rules WHERE cod BETWEEN 'PAT0501401' AND 'PAT0501700'
 ),
-state_counts AS (
-    SELECT a.tipo_cliente, a.cust_state, {_RULE_GROUP},
-           {_COUNTS}
-    FROM contador a
-    LEFT JOIN (SELECT * FROM src_rules
-               WHERE cod >= 'PAT0501401' AND cod <= 'PAT0501700' AND campo = 'ESTADO') b
-      ON a.tipo_cliente = b.tipo_cliente AND ({_STATE_KEY}) = b.chave
-    GROUP BY a.tipo_cliente, a.cust_state, {_RULE_GROUP}
+state_groups AS (
+    SELECT k.tipo_cliente AS segment, k.cust_state, {_RULE_SELECT},
+           {_MONTH_COUNTS}
+    FROM (SELECT tipo_cliente, cust_state, {counter_cols} FROM counter) k
+    LEFT JOIN (SELECT * FROM scoped_rules WHERE campo = 'ESTADO') r
+      ON r.tipo_cliente = k.tipo_cliente AND r.chave = {_shown_state("k.cust_state")}
+    GROUP BY k.tipo_cliente, k.cust_state, {_RULE_GROUP}
 ),
-period_counts AS (
-    SELECT a.tipo_cliente, {_RULE_GROUP},
-           {_COUNTS}
-    FROM contador a
-    LEFT JOIN (SELECT * FROM src_rules
-               WHERE cod >= 'PAT0501401' AND cod <= 'PAT0501700' AND campo = 'PERIODO') b
-      ON a.tipo_cliente = b.tipo_cliente
-    GROUP BY a.tipo_cliente, {_RULE_GROUP}
+period_groups AS (
+    SELECT k.tipo_cliente AS segment, {_RULE_SELECT},
+           {_MONTH_COUNTS}
+    FROM (SELECT tipo_cliente, {counter_cols} FROM counter) k
+    LEFT JOIN (SELECT * FROM scoped_rules WHERE campo = 'PERIODO') r
+      ON r.tipo_cliente = k.tipo_cliente
+    GROUP BY k.tipo_cliente, {_RULE_GROUP}
 ),
-state_alarms AS ({_alarm_select("CASE WHEN cust_state IS NULL THEN 'SEM UF' WHEN cust_state = 'NULL' THEN 'SEM UF' ELSE cust_state END", False)}
-    FROM state_counts
+state_alarms AS ({_alarm_select("state_groups", _shown_state("cust_state"), False)}
 ),
-period_alarms AS ({_alarm_select("'PERIODO'", False)}
-    FROM period_counts
+period_alarms AS ({_alarm_select("period_groups", "'PERIODO'", False)}
 ),
 all_alarms AS (
     SELECT * FROM state_alarms UNION ALL SELECT * FROM period_alarms
 ),
-state_alarms_ts AS ({_alarm_select("CASE WHEN cust_state IS NULL THEN 'SEM UF' WHEN cust_state = 'NULL' THEN 'SEM UF' ELSE cust_state END", True)}
-    FROM state_counts
+state_alarms_ts AS ({_alarm_select("state_groups", _shown_state("cust_state"), True)}
 ),
-period_alarms_ts AS ({_alarm_select("'PERIODO'", True)}
-    FROM period_counts
+period_alarms_ts AS ({_alarm_select("period_groups", "'PERIODO'", True)}
 )
 """
 
@@ -283,44 +282,45 @@ def _latest(system: int, billed: bool) -> str:
     WHERE a.dt_foto = (SELECT max(dt_foto) FROM src_tax_{system}){semi}"""
 
 
+_COUNTS_OUT = (
+    "code AS cod, kind AS tipo, system_name AS sistema, stage AS etapa, inf AS fator_perc_inf, "
+    "sup AS fator_perc_sup, num_inf AS fator_num_inf, num_sup AS fator_num_sup, "
+    "composite AS fator_perc_composto, point AS ponto, n0 AS valor, "
+    + ", ".join(f"n{k} AS valor_mes_ant_{k}" for k in range(1, 7))
+)
+
 _ALARM_KEY = "segmento, item_alarme, cod"
 
 _FINAL = {
-    "q01_customer_segments": "SELECT * FROM cliente",
-    "q02_monthly_billing": "SELECT * FROM fat",
+    "q01_customer_segments": "SELECT * FROM customer_seg",
+    "q02_monthly_billing": "SELECT * FROM billing_month",
     "q03_latest_snapshot": _latest(2, False) + " UNION ALL " + _latest(1, False),
     "q04_billed_tax_lines": _latest(2, True) + " UNION ALL " + _latest(1, True),
-    "q05_invoice_tax": "SELECT * FROM impostos",
-    "q06_billing_with_tax": "SELECT * FROM pre_fat",
-    "q07_enriched_invoices": "SELECT * FROM fat_cli",
-    "q08_zero_invoices": "SELECT * FROM zerada",
+    "q05_invoice_tax": "SELECT * FROM invoice_tax",
+    "q06_billing_with_tax": "SELECT * FROM billing_tax",
+    "q07_enriched_invoices": "SELECT * FROM enriched",
+    "q08_zero_invoices": "SELECT * FROM zero_inv",
     "q09_zero_by_segment": """
-    SELECT CASE WHEN tipo_cliente IS NULL THEN 'B2C' ELSE tipo_cliente END AS tipo_cliente,
-           CAST(count(*) AS BIGINT) AS n_rows,
-           CAST(count(DISTINCT bill_ref_no) AS BIGINT) AS n_invoices
-    FROM zerada GROUP BY 1""",
-    "q10_zero_counter": "SELECT * FROM contador",
-    "q12_state_counts": "SELECT * FROM state_counts",
-    "q13_period_counts": "SELECT * FROM period_counts",
+    SELECT coalesce(tipo_cliente, 'B2C') AS tipo_cliente,
+           count(*)::BIGINT AS n_rows,
+           count(DISTINCT bill_ref_no)::BIGINT AS n_invoices
+    FROM zero_inv GROUP BY ALL""",
+    "q10_zero_counter": "SELECT * FROM counter",
+    "q12_state_counts": f"SELECT segment AS tipo_cliente, cust_state, {_COUNTS_OUT} FROM state_groups",
+    "q13_period_counts": f"SELECT segment AS tipo_cliente, {_COUNTS_OUT} FROM period_groups",
     "q14_state_alarms": "SELECT * FROM state_alarms",
     "q15_period_alarms": "SELECT * FROM period_alarms",
     "q16_all_alarms": "SELECT * FROM all_alarms",
-    "q17_state_key": """
-    SELECT cust_state,
-           CASE WHEN cust_state IS NULL THEN 'SEM UF' WHEN cust_state = 'NULL' THEN 'SEM UF'
-                ELSE cust_state END AS state_key,
-           CAST(count(*) AS BIGINT) AS n_rows
+    "q17_state_key": f"""
+    SELECT cust_state, {_shown_state("cust_state")} AS state_key, count(*)::BIGINT AS n_rows
     FROM src_customer GROUP BY cust_state""",
     "q18_month_window": f"""
-    SELECT strftime(prep_date, '%Y%m') AS prep_date,
-           CAST(count(*) AS BIGINT) AS n_lines,
-           strftime(prep_date, '%Y%m') = {_month(1)} AS is_period
-    FROM src_billing
-    WHERE prep_status = '1' AND type_code IN (2, 3, 6, 7)
-      AND strftime(prep_date, '%Y%m') >= {_month(7)}
-      AND strftime(prep_date, '%Y%m') <= {_month(1)}
-      AND backout_status = '0' AND (prep_error_code IS NULL OR prep_error_code = 0)
-    GROUP BY 1""",
+    SELECT month AS prep_date, count(*)::BIGINT AS n_lines, month = {_month(1)} AS is_period
+    FROM (SELECT strftime(prep_date, '%Y%m') AS month FROM src_billing
+          WHERE prep_status = '1' AND backout_status = '0' AND type_code IN (2, 3, 6, 7)
+            AND coalesce(prep_error_code, 0) = 0
+            AND strftime(prep_date, '%Y%m') BETWEEN {_month(7)} AND {_month(1)})
+    GROUP BY month""",
     "q19_month_variation": f"""
     SELECT {_ALARM_KEY}, valor,
            valor_mes_ant_1, var_mes_ant_1, valor_mes_ant_2, var_mes_ant_2,
@@ -342,7 +342,7 @@ _FINAL = {
           UNION ALL
           SELECT 'PERIODO', flag_alarme, alarme, cod IS NOT NULL FROM period_alarms) x
     GROUP BY 1, 2, 3, 4""",
-    "q23_orc_roundtrip": "SELECT * FROM zerada",
+    "q23_orc_roundtrip": "SELECT * FROM zero_inv",
     "q24_alarm_append": "SELECT * FROM state_alarms_ts UNION ALL SELECT * FROM period_alarms_ts",
 }
 
