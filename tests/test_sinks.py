@@ -74,3 +74,23 @@ def test_run_month_writes_kept_table_and_alarms(spark):
     plan = AlarmPlan(sources, FIXTURE_RUN)
     assert _bag(spark.read.orc(kept)) == _bag(plan.zero_invoices)
     assert _bag(sinks.read_alarms(spark, target)) == _bag(plan.all_alarms(with_timestamp=True))
+
+
+def test_command_line_run(spark):
+    from zerobill import schemas
+    from zerobill.__main__ import main
+
+    src = fixture_sources(spark, SF_SMALL)
+    base = scratch_path(spark, "cli")
+    args = ["--run-date", "2001-08-15", "--input-format", "parquet"]
+    for name in schemas.SOURCES:
+        getattr(src, name).write.parquet(f"{base}/{name}")
+        args += [f"--{name.replace('_', '-')}", f"{base}/{name}"]
+    args += ["--zero-invoice-path", f"{base}/zero", "--alarm-table", f"{base}/alarms",
+             "--alarm-format", "orc", "--replace-period"]
+    main(args)
+    main(args)  # idempotent per period
+    plan = AlarmPlan(src, FIXTURE_RUN)
+    got = sinks.read_alarms(spark, f"{base}/alarms").drop("data_alarme")
+    assert _bag(got) == _bag(plan.all_alarms())
+    assert _bag(spark.read.orc(f"{base}/zero")) == _bag(plan.zero_invoices)

@@ -134,7 +134,7 @@ def run_month(
     stored = spark.read.orc(zero_invoice_path)
     alarms = alarms_from_zero_invoices(stored, sources.alarm_factor, ctx, with_timestamp=True)
     if idempotent:
-        sinks.replace_period(alarms, alarm_target)
+        sinks.replace_period(alarms, alarm_target, alarm_format or sinks.ORC)
     else:
         sinks.append_alarms(alarms, alarm_target, alarm_format)
     return alarms

@@ -65,7 +65,7 @@ TEST_TABLE_COLUMNS = {
 }
 
 
-class TestTables:
+class DriverTables:
     """The driver's parquet tables in one folder, each opened once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -94,7 +94,7 @@ def _category(custkey: Column) -> Column:
     return (F.lit(10) + custkey % 14).cast(T.StringType())
 
 
-def customer(tables: TestTables) -> DataFrame:
+def customer(tables: DriverTables) -> DataFrame:
     c = tables["customer"].select("c_custkey", "c_nationkey")
     n = tables["nation"].select("n_nationkey", "n_regionkey")
     r = tables["region"].select("r_regionkey", "r_name")
@@ -122,7 +122,7 @@ def customer(tables: TestTables) -> DataFrame:
     return conform(base.unionByName(extra), schemas.CUSTOMER, "customer")
 
 
-def billing_line(tables: TestTables) -> DataFrame:
+def billing_line(tables: DriverTables) -> DataFrame:
     line = tables["lineitem"]
     orders = tables["orders"].select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
@@ -151,7 +151,7 @@ def billing_line(tables: TestTables) -> DataFrame:
     return conform(out, schemas.BILLING_LINE, "billing_line")
 
 
-def tax_line(tables: TestTables, system: int) -> DataFrame:
+def tax_line(tables: DriverTables, system: int) -> DataFrame:
     line = tables["lineitem"]
     price = _money(F.col("l_extendedprice"))
     out = line.filter(F.col("l_suppkey") % 2 == system % 2).select(
@@ -204,7 +204,7 @@ def alarm_factor(spark: SparkSession) -> DataFrame:
 
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    tables = TestTables(spark, sf_dir)
+    tables = DriverTables(spark, sf_dir)
     return Sources(
         customer=customer(tables),
         billing_line=billing_line(tables),
