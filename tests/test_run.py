@@ -48,3 +48,18 @@ def test_month_keys_match_spark_add_months(spark):
             *[F.date_format(F.add_months(F.lit(day), -k), "yyyyMM").alias(f"m{k}") for k in range(1, 8)]
         ).first()
         assert [row[f"m{k}"] for k in range(1, 8)] == [ctx.month_key(k) for k in range(1, 8)]
+
+
+def test_cluster_conf_sizes_partitions():
+    from zerobill.session import MB, cluster_conf
+
+    tb = 1024 ** 4
+    conf = cluster_conf(100 * tb, total_cores=8000)
+    parts = int(conf["spark.sql.shuffle.partitions"])
+    assert parts == 40960          # 10 TB of pre-aggregated shuffle in 256 MB partitions
+    assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * MB)
+    assert int(cluster_conf(1000 * tb, 8000)["spark.sql.shuffle.partitions"]) == 65536
+    small = cluster_conf(10 * MB, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16   # at least two waves
+    with pytest.raises(ValueError):
+        cluster_conf(0, 8)

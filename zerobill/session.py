@@ -27,6 +27,43 @@ JOB_CONF = {
 }
 
 
+MB = 1024 * 1024
+
+
+def cluster_conf(
+    input_bytes: int,
+    total_cores: int,
+    shuffle_fraction: float = 0.1,
+    scan_split_bytes: int = 256 * MB,
+    shuffle_partition_bytes: int = 256 * MB,
+    max_partitions: int = 65536,
+) -> dict[str, str]:
+    """Partition sizing for a large run, from the bytes the job scans.
+
+    Scan tasks read ``scan_split_bytes`` each. The shuffles carry map-side
+    pre-aggregated rows of a few columns, estimated as ``shuffle_fraction`` of
+    the scanned bytes; the initial shuffle partition count gives each reducer
+    about ``shuffle_partition_bytes`` of that, with at least two waves of the
+    cluster's cores and at most ``max_partitions`` (so the map x reduce block
+    count stays manageable). AQE then coalesces small partitions up to the
+    advisory size and splits skewed join partitions, so no reducer task has to
+    hold much more than ``shuffle_partition_bytes``.
+    """
+    if input_bytes <= 0 or total_cores <= 0:
+        raise ValueError("input_bytes and total_cores must be positive")
+    wanted = -(-int(input_bytes * shuffle_fraction) // shuffle_partition_bytes)
+    partitions = min(max(2 * total_cores, wanted), max_partitions)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(
+            4 * shuffle_partition_bytes
+        ),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "zerobill",
