@@ -66,3 +66,26 @@ def test_counter_computed_once_for_both_grains(spark):
 def test_kept_columns_only_are_read(spark):
     text = plan_text(QUERIES["q01_customer_segments"](spark, SF_SMALL))
     assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int>" in text
+
+
+def test_bucketed_billing_rolls_up_without_shuffle(spark):
+    from zerobill import schemas
+    from zerobill.operators import rollup as R
+    from zerobill.run import FIXTURE_RUN
+    from zerobill.session import scratch_path
+    from zerobill.sources import sinks
+    from zerobill.sources.catalog import conform
+    from zerobill.sources.fixture import fixture_sources
+
+    billing = fixture_sources(spark, SF_SMALL).billing_line
+    sinks.save_bucketed(billing, "billing_bucketed_test", "bill_ref_no", 4,
+                        path=scratch_path(spark, "billing_bucketed"))
+    try:
+        table = conform(spark.table("billing_bucketed_test"), schemas.BILLING_LINE)
+        rolled = R.monthly_billing(table, FIXTURE_RUN)
+        text = plan_text(rolled)
+        assert "Exchange" not in text.split("===== Subqueries =====")[0]
+        expected = R.monthly_billing(billing, FIXTURE_RUN)
+        assert sorted(map(repr, rolled.collect())) == sorted(map(repr, expected.collect()))
+    finally:
+        spark.sql("DROP TABLE IF EXISTS billing_bucketed_test")
