@@ -29,10 +29,15 @@ def test_conform_rejects_missing_columns(spark):
         conform(df, schemas.CUSTOMER, "customer")
 
 
-def test_conform_rejects_bad_values_instead_of_nulling(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_conform_rejects_bad_values_instead_of_nulling(spark, ansi):
     df = spark.createDataFrame([("x1", "SP", "12")], "account_no string, cust_state string, account_category string")
-    with pytest.raises(Exception):
-        conform(df, schemas.CUSTOMER, "customer").collect()
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="customer.account_no"):
+            conform(df, schemas.CUSTOMER, "customer").collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_read_sources_from_files_round_trip(spark):
@@ -71,3 +76,25 @@ def test_default_format_full_refresh(spark):
     sinks.write_table(zero, path, fmt="parquet", compression=None)
     sinks.write_table(zero, path, fmt="parquet", compression=None)
     assert spark.read.parquet(path).count() == zero.count()
+
+
+def test_conform_keeps_stored_timestamps_and_widens_safely(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    df = spark.createDataFrame(
+        [(dt.datetime(2001, 7, 3, 10), 5, 6, Decimal("1.50"), Decimal("0.1000"), Decimal("0"), 2, 1, 0, None)],
+        "prep_date timestamp, bill_ref_no int, account_no int, amount decimal(10,2), "
+        "tax decimal(12,4), discount decimal(5,0), type_code int, prep_status int, "
+        "backout_status int, prep_error_code long",
+    )
+    out = conform(df, schemas.BILLING_LINE, "billing_line")
+    types = {f.name: f.dataType.simpleString() for f in out.schema.fields}
+    assert types["prep_date"] == "timestamp"           # stored type kept
+    assert types["bill_ref_no"] == "bigint" and types["amount"] == "decimal(18,2)"
+    assert types["prep_status"] == "string" and types["prep_error_code"] == "int"
+    row = out.first()
+    assert row.prep_status == "1" and row.amount == Decimal("1.50")
+    from zerobill.operators import rollup as R
+    from zerobill.run import FIXTURE_RUN
+    assert R.monthly_billing(out, FIXTURE_RUN).count() == 1

@@ -1,9 +1,9 @@
 """Read the logical inputs from catalog tables or files, typed on ingest.
 
 Each input is projected to the columns the job uses (so the scan prunes the
-rest) and cast to the logical type. Casts run under ANSI rules: a value that
-does not fit (e.g. the text ``'abc'`` in a numeric code) fails the job rather
-than silently becoming NULL.
+rest) and cast to the logical type. A value that does not convert (e.g. the
+text ``'abc'`` in a numeric code) fails the job instead of silently becoming
+NULL, whatever ``spark.sql.ansi.enabled`` says.
 """
 
 from __future__ import annotations
@@ -32,12 +32,49 @@ def conform(df: DataFrame, schema: T.StructType, name: str = "input") -> DataFra
     for field in schema.fields:
         src = present[field.name.lower()]
         c = F.col(src.name)
-        if src.dataType != field.dataType:
+        if src.dataType == field.dataType or _both_temporal(src.dataType, field.dataType):
+            pass
+        elif _widens(src.dataType, field.dataType):
             c = c.cast(field.dataType)
+        else:
+            c = _strict_cast(c, field.dataType, f"{name}.{field.name}")
         cols.append(c.alias(field.name))
     return df.select(*cols)
 
 
+_TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
+_INTEGRAL_RANK = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4}
+_INTEGRAL_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _both_temporal(src: T.DataType, dst: T.DataType) -> bool:
+    """Dates and timestamps are kept in their stored type: the job builds its
+    window bounds in the column's own type, so filters still reach the scan."""
+    return isinstance(src, _TEMPORAL) and isinstance(dst, _TEMPORAL)
+
+
+def _widens(src: T.DataType, dst: T.DataType) -> bool:
+    """Casts that cannot fail or lose information."""
+    if isinstance(dst, T.StringType):
+        return True
+    if type(src) in _INTEGRAL_RANK and type(dst) in _INTEGRAL_RANK:
+        return _INTEGRAL_RANK[type(src)] <= _INTEGRAL_RANK[type(dst)]
+    if type(src) in _INTEGRAL_DIGITS and isinstance(dst, T.DecimalType):
+        return dst.precision - dst.scale >= _INTEGRAL_DIGITS[type(src)]
+    if isinstance(src, T.DecimalType) and isinstance(dst, T.DecimalType):
+        return dst.scale >= src.scale and dst.precision - dst.scale >= src.precision - src.scale
+    return isinstance(src, T.FloatType) and isinstance(dst, T.DoubleType)
+
+
+def _strict_cast(c, dtype: T.DataType, label: str):
+    """Convert, and fail the job on a value that does not convert."""
+    converted = c.try_cast(dtype)
+    return F.when(
+        c.isNotNull() & converted.isNull(),
+        F.raise_error(F.concat(F.lit(f"{label}: cannot convert "), c.cast("string"))),
+    ).otherwise(converted)
+
+
 def read_input(spark: SparkSession, location: str, fmt: str | None = None) -> DataFrame:
     """A catalog table name (``db.table``) or, with ``fmt``, a file path."""
     if fmt is None:
