@@ -59,3 +59,15 @@ def test_result_independent_of_partitioning(spark):
         return sorted(tuple(map(repr, r)) for r in rows)
 
     assert run(1) == run(16)
+
+
+def test_result_independent_of_session_time_zone(spark):
+    def run(tz):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        try:
+            rows = plan_for(spark, SF_ORACLE).all_alarms(with_timestamp=True).collect()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return sorted(tuple(map(repr, r)) for r in rows)
+
+    assert run("America/Sao_Paulo") == run("UTC")

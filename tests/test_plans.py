@@ -89,3 +89,11 @@ def test_bucketed_billing_rolls_up_without_shuffle(spark):
         assert sorted(map(repr, rolled.collect())) == sorted(map(repr, expected.collect()))
     finally:
         spark.sql("DROP TABLE IF EXISTS billing_bucketed_test")
+
+
+def test_zero_filter_runs_before_the_enrichment_joins(spark):
+    text = plan_text(QUERIES["q08_zero_invoices"](spark, SF_SMALL), "simple")
+    lines = text.splitlines()
+    zero = next(i for i, l in enumerate(lines) if "(sum_amount" in l and "= 0.00" in l and "Filter" in l)
+    joins = [i for i, l in enumerate(lines) if "LeftOuter" in l]
+    assert len(joins) == 2 and all(i < zero for i in joins)   # filter sits below both joins

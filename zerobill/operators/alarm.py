@@ -175,8 +175,9 @@ def alarm_rows(
     for name in _ZERO_INT_COLUMNS:
         values[name] = F.lit(0)
     if with_timestamp:
+        # a wall-clock literal: text -> timestamp_ntz does not depend on any time zone
         values["data_alarme"] = (
-            F.lit(ctx.run_ts).cast(T.TimestampNTZType())
+            F.lit(ctx.run_ts.isoformat(sep=" ")).cast(T.TimestampNTZType())
             if ctx.run_ts is not None
             else F.localtimestamp()
         )
