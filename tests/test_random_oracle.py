@@ -19,10 +19,12 @@ from frames import rule_row
 from zerobill import schemas
 from zerobill.oracle import stage_sql
 from zerobill.plans.job import AlarmPlan
-from zerobill.run import FIXTURE_RUN
+from zerobill.run import RunContext
 from zerobill.sources import Sources
 
-MONTHS = ["200107", "200106", "200101", "200103", "200105", "200106", "200107", "200012", "200108"]
+# month offsets relative to the run month: 1 = last closed month ... 7 = oldest, 8 and 0 outside
+MONTH_OFFSETS = [1, 2, 7, 5, 3, 2, 1, 8, 0]
+RUN_DATES = [dt.date(2001, 8, 15), dt.date(2002, 1, 31), dt.date(2004, 2, 29), dt.date(2001, 3, 1)]
 STATES = ["ASIA", None, "NULL", "SEM UF", "EUROPE"]
 CATEGORIES = ["12", None, "16", "18", "11"]
 AMOUNTS = ["0.00", "-5.00", "0.00", None, "0.00", "5.00", "0.10", "0.20", "-0.30"]
@@ -49,7 +51,7 @@ customers = st.lists(
 )
 billing = st.lists(
     st.tuples(
-        st.sampled_from(MONTHS), st.integers(1, 6), st.integers(1, 6), st.sampled_from(AMOUNTS),
+        st.sampled_from(MONTH_OFFSETS), st.integers(1, 6), st.integers(1, 6), st.sampled_from(AMOUNTS),
         st.sampled_from([2, 1, 2, 3]), st.sampled_from(["1", "1", "0"]),
         st.sampled_from([0, None, 0, 7]),
     ),
@@ -97,10 +99,11 @@ def _bag(rows, cols):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
-def _billing_rows(draw_rows):
+def _billing_rows(draw_rows, ctx):
     out = []
-    for month, bill, acct, amount, type_code, status, err in draw_rows:
-        ts = dt.datetime(int(month[:4]), int(month[4:]), 15, 8, 30)
+    for offset, bill, acct, amount, type_code, status, err in draw_rows:
+        first = ctx.month_start(offset)
+        ts = dt.datetime(first.year, first.month, 1 + (bill * 5) % 28, 8, 30)
         amt = None if amount is None else Decimal(amount)
         out.append((ts, bill, acct, amt, Decimal("1.0000"), Decimal("0.5000"), type_code,
                     status, "0", err))
@@ -111,13 +114,15 @@ def _tax_rows(draw_rows):
     return [(b, code, Decimal(c), snap) for b, code, c, snap in draw_rows]
 
 
-@settings(max_examples=15, deadline=None,
+@settings(max_examples=20, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
-@given(customers=customers, billing=billing, tax1=tax, tax2=tax, rules=rules)
-def test_random_inputs_match_sql(spark, customers, billing, tax1, tax2, rules):
+@given(customers=customers, billing=billing, tax1=tax, tax2=tax, rules=rules,
+       run_date=st.sampled_from(RUN_DATES))
+def test_random_inputs_match_sql(spark, customers, billing, tax1, tax2, rules, run_date):
+    ctx = RunContext(run_date, dt.datetime(run_date.year, run_date.month, run_date.day))
     tables = {
         "src_customer": list(customers),
-        "src_billing": _billing_rows(billing),
+        "src_billing": _billing_rows(billing, ctx),
         "src_tax_1": _tax_rows(tax1),
         "src_tax_2": _tax_rows(tax2),
         "src_rules": list(rules),
@@ -129,7 +134,7 @@ def test_random_inputs_match_sql(spark, customers, billing, tax1, tax2, rules):
         tax_line_2=spark.createDataFrame(tables["src_tax_2"], schemas.TAX_LINE),
         alarm_factor=spark.createDataFrame(tables["src_rules"], schemas.ALARM_FACTOR),
     )
-    plan = AlarmPlan(sources, FIXTURE_RUN)
+    plan = AlarmPlan(sources, ctx)
     con = duckdb.connect()
     try:
         for name, ddl in DUCK_DDL.items():
@@ -139,7 +144,7 @@ def test_random_inputs_match_sql(spark, customers, billing, tax1, tax2, rules):
                 con.executemany(f"INSERT INTO {name} VALUES ({marks})", tables[name])
         for key, stage in CHECKED.items():
             df = stage(plan)
-            res = con.execute(stage_sql(key))
+            res = con.execute(stage_sql(key, run_date))
             o_cols = [d[0] for d in res.description]
             assert sorted(df.columns) == sorted(o_cols), key
             rows = [tuple(r) for r in df.collect()]

@@ -353,6 +353,10 @@ def oracle_sql() -> dict[str, str]:
     return {name: prelude + body for name, body in _FINAL.items()}
 
 
-def stage_sql(name: str) -> str:
-    """One query over already-registered logical inputs (``src_*`` tables)."""
-    return "\nWITH " + _stage_ctes() + _FINAL[name]
+def stage_sql(name: str, run_date=None) -> str:
+    """One query over already-registered logical inputs (``src_*`` tables),
+    optionally for another run date (a ``datetime.date``)."""
+    sql = "\nWITH " + _stage_ctes() + _FINAL[name]
+    if run_date is not None:
+        sql = sql.replace(RUN_DATE, f"DATE '{run_date.isoformat()}'")
+    return sql
