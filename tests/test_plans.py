@@ -97,3 +97,36 @@ def test_zero_filter_runs_before_the_enrichment_joins(spark):
     zero = next(i for i, l in enumerate(lines) if "(sum_amount" in l and "= 0.00" in l and "Filter" in l)
     joins = [i for i, l in enumerate(lines) if "LeftOuter" in l]
     assert len(joins) == 2 and all(i < zero for i in joins)   # filter sits below both joins
+
+
+def test_hot_account_join_partition_is_split(spark):
+    """One account holding most zero invoices: AQE splits its join partition."""
+    from frames import billing_row, sources
+
+    from zerobill.plans.job import AlarmPlan
+    from zerobill.run import FIXTURE_RUN
+
+    billing = [billing_row("200107", b, 1, 0) for b in range(1, 3000)]
+    billing += [billing_row("200106", 5000 + a, a, 0) for a in range(2, 10)]
+    customers = [(a, "SP", "12") for a in range(1, 10)]
+    plan = AlarmPlan(sources(spark, customers=customers, billing=billing), FIXTURE_RUN)
+    expected = sorted(map(repr, plan.zero_invoices.collect()))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = AlarmPlan(plan.sources, FIXTURE_RUN).zero_invoices
+        got = sorted(map(repr, df.collect()))
+        text = plan_text(df, "simple")
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert "SortMergeJoin(skew=true)" in text
+    assert got == expected
