@@ -40,14 +40,22 @@ def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
-    res = duck.execute(E.oracle_sql()[name])
-    o_cols = [d[0] for d in res.description]
-    o_rows = res.fetchall()
+    rel = duck.sql(E.oracle_sql()[name])
+    o_cols = rel.columns
+    o_types = dict(zip(rel.columns, map(str, rel.types)))
+    o_rows = rel.fetchall()
     s_rows = [tuple(r) for r in df.collect()]
     assert sorted(df.columns) == sorted(o_cols)
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        assert o_types[f.name] == SPARK_TO_DUCK.get(t, t.upper()), f.name
     assert _bag(s_rows, df.columns) == _bag(o_rows, o_cols)
 
 
