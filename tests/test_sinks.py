@@ -66,16 +66,39 @@ def test_replace_period_is_idempotent(spark):
     assert _bag(back) == _bag(alarms)
 
 
-def test_run_month_writes_kept_table_and_alarms(spark):
+import pytest
+
+
+@pytest.mark.parametrize("key_limit", [None, 0])   # size-checked broadcast / plain shuffle joins
+def test_run_month_writes_kept_table_and_alarms(spark, key_limit):
     sources = fixture_sources(spark, SF_SMALL)
     kept = scratch_path(spark, "kept")
     target = scratch_path(spark, "alarm")
-    run_month(spark, sources, FIXTURE_RUN, kept, target)
+    run_month(spark, sources, FIXTURE_RUN, kept, target, key_limit=key_limit)
     plan = AlarmPlan(sources, FIXTURE_RUN)
     assert _bag(spark.read.orc(kept)) == _bag(plan.zero_invoices)
     assert _bag(sinks.read_alarms(spark, target)) == _bag(plan.all_alarms(with_timestamp=True))
 
 
+def test_zero_keys_are_broadcast_only_within_the_limit(spark):
+    import contextlib
+    import io
+
+    from zerobill.plans.job import enrich_zero_billing
+
+    sources = fixture_sources(spark, SF_SMALL)
+    zero_billing = AlarmPlan(sources, FIXTURE_RUN).zero_billing
+
+    def plan(limit):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            enrich_zero_billing(sources, zero_billing, 14, limit).explain()
+        return buf.getvalue()
+
+    assert "BroadcastHashJoin" in plan(14) and "LeftSemi" in plan(14)
+    assert "LeftSemi" not in plan(13)
+
+
 def test_command_line_run(spark):
     from zerobill import schemas
     from zerobill.__main__ import main

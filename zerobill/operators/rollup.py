@@ -118,16 +118,20 @@ def qualifying_tax(tax_lines: DataFrame) -> Column:
     return (code >= TAX_TYPE_MIN) & (code < TAX_TYPE_MAX) & (F.col("federal_tax") > 0)
 
 
-def system_invoice_tax(tax_lines: DataFrame, billing: DataFrame | None) -> DataFrame:
+def system_invoice_tax(
+    tax_lines: DataFrame, billing: DataFrame | None, snapshot_applied: bool = False
+) -> DataFrame:
     """Tax per invoice of one billing system, latest snapshot, in currency units.
 
     The billed-invoice restriction (``billing`` given) is keyed on the same
     column as the aggregate, so it is applied to the per-invoice result: the
     tax lines are pre-aggregated map-side before any shuffle, and the
     semi-join reuses the aggregate's partitioning. ``billing=None`` skips the
-    restriction; see ``invoice_tax``.
+    restriction; see ``invoice_tax``. ``snapshot_applied`` means the caller
+    already kept the latest snapshot only (the max must be taken over the
+    whole system, before any other restriction).
     """
-    lines = latest_snapshot(tax_lines)
+    lines = tax_lines if snapshot_applied else latest_snapshot(tax_lines)
     per_invoice = (
         lines.filter(qualifying_tax(lines))
         .groupBy("bill_ref_no")
@@ -143,7 +147,7 @@ def system_invoice_tax(tax_lines: DataFrame, billing: DataFrame | None) -> DataF
 
 
 def invoice_tax(
-    tax_systems: dict[int, DataFrame], billing: DataFrame | None
+    tax_systems: dict[int, DataFrame], billing: DataFrame | None, snapshot_applied: bool = False
 ) -> DataFrame:
     """Bag union of the per-system invoice tax: an invoice may appear twice.
 
@@ -153,7 +157,9 @@ def invoice_tax(
     invoices are billed by construction, so the restriction cannot change its
     result and the whole-history key scan is skipped.
     """
-    parts = [system_invoice_tax(lines, billing) for lines in tax_systems.values()]
+    parts = [
+        system_invoice_tax(lines, billing, snapshot_applied) for lines in tax_systems.values()
+    ]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
