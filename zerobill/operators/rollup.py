@@ -136,7 +136,9 @@ def system_invoice_tax(
         lines.filter(qualifying_tax(lines))
         .groupBy("bill_ref_no")
         .agg(
-            F.round(F.sum(F.col("federal_tax") / F.lit(CENTS_PER_UNIT)), 2)
+            # sum(cents) / 100 equals the sum of per-line cents / 100 exactly in
+            # decimal arithmetic, with one division per invoice instead of per line
+            F.round(F.sum("federal_tax") / F.lit(CENTS_PER_UNIT), 2)
             .cast(INVOICE_TAX_TYPE)
             .alias("tax")
         )
