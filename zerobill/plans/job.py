@@ -94,15 +94,7 @@ class AlarmPlan:
     @cached_property
     def alarm_counter(self) -> DataFrame:
         """Counter as the alarm stage reads it (no tax join, no ``qtde``)."""
-        zero_billing = self.monthly_billing.select(
-            "prep_date",
-            "bill_ref_no",
-            "account_no",
-            "sum_amount",
-            "sum_tax",
-            "sum_discount",
-        )
-        enriched = R.attach_customer(zero_billing, self.customer_segments)
+        enriched = R.attach_customer(self.zero_billing, self.customer_segments)
         return Z.month_counter(Z.zero_invoices(enriched), self.ctx, with_row_count=False)
 
     # -- path 3: alarms ---------------------------------------------------------
