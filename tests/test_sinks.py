@@ -117,3 +117,21 @@ def test_command_line_run(spark):
     got = sinks.read_alarms(spark, f"{base}/alarms").drop("data_alarme")
     assert _bag(got) == _bag(plan.all_alarms())
     assert _bag(spark.read.orc(f"{base}/zero")) == _bag(plan.zero_invoices)
+
+
+def test_replace_period_keeps_other_periods(spark):
+    import datetime as dt
+
+    from zerobill.run import RunContext
+
+    sources = fixture_sources(spark, SF_SMALL)
+    july = AlarmPlan(sources, FIXTURE_RUN).all_alarms(with_timestamp=True)
+    june_ctx = RunContext(dt.date(2001, 7, 15), dt.datetime(2001, 7, 15))
+    june = AlarmPlan(sources, june_ctx).all_alarms(with_timestamp=True)
+    path = scratch_path(spark, "alarm")
+    sinks.replace_period(july, path)
+    sinks.replace_period(june, path)
+    sinks.replace_period(july, path)            # re-run July: replaces July only
+    back = sinks.read_alarms(spark, path)
+    assert sorted(r[0] for r in back.select("periodo").distinct().collect()) == ["200106", "200107"]
+    assert _bag(back) == sorted(_bag(july) + _bag(june))
