@@ -78,6 +78,21 @@ def test_default_format_full_refresh(spark):
     assert spark.read.parquet(path).count() == zero.count()
 
 
+def test_create_as_select_catalog_table_default_format(spark):
+    zero = plan_for(spark, SF_SMALL).zero_invoices
+    try:
+        for _ in range(2):   # drop-and-create semantics: the second run replaces the first
+            sinks.save_as_table(zero, "zero_invoice_test", path=scratch_path(spark, "zero_tbl"))
+        back = spark.table("zero_invoice_test")
+        assert back.columns == zero.columns
+        assert sorted(map(repr, back.collect())) == sorted(map(repr, zero.collect()))
+        provider = [r for r in spark.sql("DESCRIBE TABLE EXTENDED zero_invoice_test").collect()
+                    if r[0] == "Provider"][0][1]
+        assert provider == spark.conf.get("spark.sql.sources.default")
+    finally:
+        spark.sql("DROP TABLE IF EXISTS zero_invoice_test")
+
+
 def test_conform_keeps_stored_timestamps_and_widens_safely(spark):
     import datetime as dt
     from decimal import Decimal

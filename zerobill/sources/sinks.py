@@ -33,9 +33,27 @@ def write_table(
     writer.save(path)
 
 
-def save_as_table(df: DataFrame, table: str, fmt: str = ORC, mode: str = "overwrite") -> None:
-    """Catalog variant of ``write_table`` (``db.table`` name)."""
-    df.write.format(fmt).mode(mode).option("compression", SNAPPY).saveAsTable(table)
+def save_as_table(
+    df: DataFrame,
+    table: str,
+    fmt: str | None = None,
+    mode: str = "overwrite",
+    path: str | None = None,
+) -> None:
+    """Create-as-select into a catalog table (``db.table``), replacing it.
+
+    ``fmt=None`` uses the session's default data source
+    (``spark.sql.sources.default``), like a create-as-select without a
+    storage clause; ``path`` makes it an external table at that location.
+    """
+    writer = df.write.mode(mode)
+    if fmt is not None:
+        writer = writer.format(fmt)
+        if fmt == ORC:
+            writer = writer.option("compression", SNAPPY)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
 
 
 def save_bucketed(
