@@ -117,7 +117,7 @@ def _tax_rows(draw_rows):
     return [(b, code, Decimal(c), snap) for b, code, c, snap in draw_rows]
 
 
-@settings(max_examples=20, deadline=None,
+@settings(max_examples=12, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
 @given(customers=customers, billing=billing, tax1=tax, tax2=tax, rules=rules,
        run_date=st.sampled_from(RUN_DATES))
