@@ -154,7 +154,7 @@ def invoice_tax(
     """Bag union of the per-system invoice tax: an invoice may appear twice.
 
     With ``billing`` given, each system is restricted to invoices present in
-    billing (the staging table as the reference keeps it). The alarm path
+    billing (the staging table as the reference keeps it). The enrichment
     passes ``None``: it left-joins the tax onto windowed billing rows, whose
     invoices are billed by construction, so the restriction cannot change its
     result and the whole-history key scan is skipped.
