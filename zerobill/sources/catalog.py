@@ -24,7 +24,10 @@ class SchemaError(ValueError):
 
 def conform(df: DataFrame, schema: T.StructType, name: str = "input") -> DataFrame:
     """Select ``schema``'s columns from ``df`` and cast each to its logical type."""
-    present = {f.name.lower(): f for f in df.schema.fields}
+    fields = df.schema.fields
+    if [(f.name, f.dataType) for f in fields] == [(f.name, f.dataType) for f in schema.fields]:
+        return df  # already the logical layout: nothing to project or convert
+    present = {f.name.lower(): f for f in fields}
     missing = [f.name for f in schema.fields if f.name.lower() not in present]
     if missing:
         raise SchemaError(f"{name}: missing columns {missing}")
