@@ -96,3 +96,17 @@ def test_large_scale_join_strategies_give_the_same_rows(spark):
     })
     no_aqe = run({"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"})
     assert default == no_broadcast == no_aqe
+
+
+def test_result_independent_of_ansi_mode(spark):
+    from zerobill.plans.registry import QUERIES
+
+    def run(ansi):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            return {n: sorted(map(repr, QUERIES[n](spark, SF_ORACLE).collect()))
+                    for n in ("q08_zero_invoices", "q16_all_alarms")}
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+
+    assert run("false") == run("true")
