@@ -174,3 +174,19 @@ def test_missing_tax_is_zero(spark):
     billing = [billing_row("200107", 1, 10, 4)]
     plan = AlarmPlan(sources(spark, billing=billing), CTX)
     assert _rows(plan.billing_with_tax, "sum_tax") == [(Decimal("0.00"),)]
+
+
+def test_rule_scope_is_an_inclusive_code_range_per_field(spark):
+    rules = [
+        rule_row("PAT0501400", "ESTADO", "B2B", "SP"),
+        rule_row("PAT0501401", "ESTADO", "B2B", "SP"),
+        rule_row("PAT0501700", "ESTADO", "B2B", "SP"),
+        rule_row("PAT0501701", "ESTADO", "B2B", "SP"),
+        rule_row("PAT0501550", "PERIODO", "B2B", "PERIODO"),
+        rule_row("PAT05015", "ESTADO", "B2B", "SP"),        # text order: below the range
+        rule_row("PAT0501699X", "ESTADO", "B2B", "SP"),     # text order: inside the range
+    ]
+    factor = sources(spark, rules=rules).alarm_factor
+    assert _rows(A.rules(factor, A.SCOPE_STATE), "cod") == [
+        ("PAT0501401",), ("PAT0501699X",), ("PAT0501700",)]
+    assert _rows(A.rules(factor, A.SCOPE_PERIOD), "cod") == [("PAT0501550",)]
