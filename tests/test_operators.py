@@ -183,7 +183,7 @@ def test_rule_scope_is_an_inclusive_code_range_per_field(spark):
         rule_row("PAT0501700", "ESTADO", "B2B", "SP"),
         rule_row("PAT0501701", "ESTADO", "B2B", "SP"),
         rule_row("PAT0501550", "PERIODO", "B2B", "PERIODO"),
-        rule_row("PAT05015", "ESTADO", "B2B", "SP"),        # text order: below the range
+        rule_row("PAT050140", "ESTADO", "B2B", "SP"),       # text order: below the range
         rule_row("PAT0501699X", "ESTADO", "B2B", "SP"),     # text order: inside the range
     ]
     factor = sources(spark, rules=rules).alarm_factor
