@@ -57,13 +57,14 @@ def points(docs: DataFrame) -> DataFrame:
     return d
 
 
-def _place(rows: DataFrame) -> DataFrame:
+def _place(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Rows with coordinates, equal for all copies of a text, and a uniform
     number ``u`` of the id by which a group is divided where it must be."""
     groups = rows.groupBy("g").agg(F.min("v_source").alias("v_source"), F.min("v_lang").alias("v_lang"), F.min("v_size").alias("v_size"))
     tail = F.shiftrightunsigned(F.xxhash64("g"), 64 - TAIL_BITS)
     u = F.shiftrightunsigned(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit("u")), 11).cast("double") / float(1 << 53)
-    placed = groups.select("g", *[(F.shiftleft(F.col(f"v_{d[2:]}"), TAIL_BITS) + tail).alias(d) for d in DIMS])
+    # staged, so that the join's two sides are plain exchanges and a hot group can be split
+    placed = staged(spark, groups, "shard-groups").select("g", *[(F.shiftleft(F.col(f"v_{d[2:]}"), TAIL_BITS) + tail).alias(d) for d in DIMS])
     return rows.select("doc_id", "size", "text_crc32", "g", u.alias("u")).join(placed, "g").drop("g")
 
 
@@ -136,7 +137,7 @@ def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = SHARDS,
     from 0 in id order. Each level of the tree is a few aggregations over a
     narrow staged table; a node is named by the first shard below it."""
     rows = staged(spark, points(docs), "shard-rows")
-    at = staged(spark, _place(rows).withColumn("node", F.lit(0)), "shard-points")
+    at = staged(spark, _place(spark, rows).withColumn("node", F.lit(0)), "shard-points")
     slack = int((rows.agg(F.sum("size")).first()[0] or 0) / shards * tolerance / 2)
     nodes = {0: shards}
     while split := {n: k for n, k in nodes.items() if k > 1}:
