@@ -30,11 +30,11 @@ def typed(df: DataFrame, *names: str, types: dict[str, str] = DOCUMENT_TYPES) ->
     )
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def staged(spark: SparkSession, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write once below the shared checkpoint folder and read back: cuts the
     lineage, survives lost executors, and is computed a single time."""
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 MODULES = {
+    "op3_ngram_jaccard_join": "jaccard",
+    "op6_frequency_ranked_ids": "token_files",
     "op7_boosted_quality_rules": "quality_rules",
     "op8_kd_tree_shards": "sharding",
     "op9_source_mix": "mixing",
