@@ -37,6 +37,7 @@ from __future__ import annotations
 import itertools
 import os
 import re
+import struct
 import sys
 import types
 from collections.abc import Iterator
@@ -57,18 +58,27 @@ BLOCK_TOKENS = 1 << 18
 CACHE_WORDS = 1 << 20
 
 
-#: Letters up to Latin Extended-B, where lower case is one for one in any library.
+#: Letters up to Latin Extended-B, where lower case is one for one in any library and NFC changes nothing.
 _PLAIN = re.compile("[\\x00-\\u024f]*")
+#: A full stop or comma beside another ASCII mark, where a space between would cut a run of marks.
+_RUN = re.compile(r"[!-/:-@\[-`{-~][.,]|[.,][!-/:-@\[-`{-~]")
 #: A word of letters with a run of ASCII marks behind it: two tokens of their own to the splitter.
 _MARKED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level letters: a visible Latin-1 character stands for its own byte, the rest follow from U+0100."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) if b in visible else chr(0x100 + hidden.index(b)) for b in range(256)}
+
+
 class WordEncoder:
     """Ids of a text as a little-endian uint32 array, through a bounded cache of words.
 
-    The cache outlives a task where Spark reuses its Python worker. Unseen
-    words of letters alone are encoded together, a space between them, and
-    cut at the ids that end a word; any other is encoded by itself.
+    The cache outlives a task where Spark reuses its Python worker. An unseen
+    word of lower-case letters is one token to the splitter and goes to the
+    tokenizer's model at once; any other word takes the whole way.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -76,50 +86,47 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocab = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self.end = np.array([end_id], "<u4").tobytes()
         kept = sys.modules.setdefault("zerobill_word_cache", types.ModuleType("zerobill_word_cache"))
         self.cache: dict[str, bytes] = kept.__dict__.setdefault("words", {}).setdefault(path, {})
 
-    def _alone(self, word: str) -> bytes:
+    def _whole(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _together(self, words: list[str]) -> None:
-        for i in range(0, len(words), 4096):
-            some = words[i : i + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) != len(some) or ends[-1] != len(ids):
-                self.cache.update((w, self._alone(w)) for w in some)
-                continue
-            raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-            self.cache.update((w, raw[a:b]) for w, a, b in zip(some, cuts, cuts[1:]))
+    def _one(self, word: str) -> bytes:
+        if not (word.isalpha() and word.islower() and word == word.lower() and _PLAIN.fullmatch(word)):
+            return self._whole(word)
+        level = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(level)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, words: set[str]) -> None:
-        cache, plain, marked = self.cache, set(), []
+        cache = self.cache
         for w in words:
-            if w.isalpha():
-                plain.add(w)
-            elif (m := _MARKED.fullmatch(w)) and m[1].isalpha():
-                marked.append((w, m[1], m[2]))
-                if m[1] not in cache:
-                    plain.add(m[1])
+            if (m := _MARKED.fullmatch(w)) and m[1].isalpha():
+                for part in m.groups():
+                    if part not in cache:
+                        cache[part] = self._one(part)
+                cache[w] = cache[m[1]] + cache[m[2]]
             else:
-                cache[w] = self._alone(w)
-        self._together(list(plain))
-        for w, stem, tail in marked:
-            if tail not in cache:
-                cache[tail] = self._alone(tail)
-            cache[w] = cache[stem] + cache[tail]
+                cache[w] = self._one(w)
 
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+    def _words(self, text: str) -> list[str]:
+        if _PLAIN.fullmatch(text):
+            text = text.lower()
+            if not _RUN.search(text):
+                text = text.replace(".", " . ").replace(",", " , ")
         # Some white space is enough of a boundary; the rest stays inside a word for the library to handle.
-        split = [(t.lower() if _PLAIN.fullmatch(t) else t).replace("\n", " ").split(" ") for t in (t or "" for t in texts)]
+        return text.replace("\n", " ").split(" ")
+
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        split = [self._words(t or "") for t in texts]
         words = list(itertools.chain.from_iterable(split))
         found = list(map(self.cache.get, words))
-        if unseen := [i for i, v in enumerate(found) if v is None]:
+        if None in found:
+            unseen = [i for i, v in enumerate(found) if v is None]
             new = {words[i] for i in unseen}
             if len(self.cache) + 2 * len(new) > CACHE_WORDS:
                 self.cache.clear()
