@@ -58,8 +58,9 @@ BLOCK_TOKENS = 1 << 18
 CACHE_WORDS = 1 << 20
 
 
-#: Letters up to Latin Extended-B, where lower case is one for one in any library and NFC changes nothing.
-_PLAIN = re.compile("[\\x00-\\u024f]*")
+#: Up to Latin Extended-B lower case is one for one in any library and NFC changes nothing;
+#: without four control characters, white space is the same everywhere, too.
+_PLAIN = re.compile("[\\x00-\\x1b\\x20-\\u024f]*")
 #: A full stop or comma beside another ASCII mark, where a space between would cut a run of marks.
 _RUN = re.compile(r"[!-/:-@\[-`{-~][.,]|[.,][!-/:-@\[-`{-~]")
 #: A word of letters with a run of ASCII marks behind it: two tokens of their own to the splitter.
@@ -118,6 +119,7 @@ class WordEncoder:
             text = text.lower()
             if not _RUN.search(text):
                 text = text.replace(".", " . ").replace(",", " , ")
+            return text.split()
         # Some white space is enough of a boundary; the rest stays inside a word for the library to handle.
         return text.replace("\n", " ").split(" ")
 
