@@ -49,7 +49,7 @@ def held_out(doc_id: Column, modulus: int = FOLD_MODULUS, remainder: int = HELD_
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, max_bytes: int) -> DataFrame:
-    """Bounded, deterministic sample of labelled training rows: (text, y).
+    """Bounded, deterministic sample of labelled training rows: (doc_id, text, y).
 
     At most ``rows`` documents in the order of a hash of their id, each of at
     most ``max_bytes`` UTF-8 bytes (longer ones are scored but not learnt
@@ -73,5 +73,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, m
         texts.join(F.broadcast(marks), "doc_id")
         .orderBy("__h", "doc_id", F.xxhash64("text"))
         .limit(rows)
-        .select(F.coalesce("text", F.lit("")).alias("text"), "y")
+        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y")
     )

@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 MODULES = {
+    "op1_byte_cnn_quality": "quality_cnn",
+    "op2_bm25_decontamination": "decontaminate",
     "op3_ngram_jaccard_join": "jaccard",
+    "op4_nearest_example_toxicity": "toxicity",
     "op6_frequency_ranked_ids": "token_files",
     "op7_boosted_quality_rules": "quality_rules",
     "op8_kd_tree_shards": "sharding",

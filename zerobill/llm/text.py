@@ -106,6 +106,28 @@ def hash_words(w: Words) -> np.ndarray:
     return mix(np.add.reduceat(value, first) + lens.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), 13)
 
 
+def _trimmed(w: Words) -> Words:
+    """Words without ASCII marks at their ends; what is marks alone stays."""
+    mark = np.zeros(256, bool)
+    mark[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+    starts, ends = w.starts.copy(), w.ends.copy()
+    for edge, step, at in ((ends, -1, -1), (starts, 1, 0)):
+        go = np.flatnonzero(mark[w.buf[edge + at]] & (ends - starts > 1))
+        while len(go):
+            edge[go] += step
+            go = go[mark[w.buf[edge[go] + at]] & (ends[go] - starts[go] > 1)]
+    return Words(w.buf, starts, ends, w.docs, w.bounds)
+
+
+def bare_hashes(w: Words) -> np.ndarray:
+    """Hashes of the words without ASCII marks at their ends."""
+    t = _trimmed(w)
+    keep = np.zeros(len(t.buf) + 1, np.int8)
+    keep[t.starts] += 1
+    keep[t.ends] -= 1
+    return hash_words(t._replace(buf=np.where(np.cumsum(keep[:-1], dtype=np.int8) > 0, t.buf, np.uint8(0x20))))
+
+
 def shingle_sets(h: np.ndarray, docs: np.ndarray, k: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each document: ``k`` words each, the
     whole sequence as one where there are fewer, empty without words."""
