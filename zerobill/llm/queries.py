@@ -12,6 +12,7 @@ MODULES = {
     "op2_bm25_decontamination": "decontaminate",
     "op3_ngram_jaccard_join": "jaccard",
     "op4_nearest_example_toxicity": "toxicity",
+    "op5_hashed_maxent_lm": "maxent",
     "op6_frequency_ranked_ids": "token_files",
     "op7_boosted_quality_rules": "quality_rules",
     "op8_kd_tree_shards": "sharding",
