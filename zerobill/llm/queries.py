@@ -17,6 +17,7 @@ MODULES = {
     "op7_boosted_quality_rules": "quality_rules",
     "op8_kd_tree_shards": "sharding",
     "op9_source_mix": "mixing",
+    "op10_lstm_html_extract": "html_extract",
 }
 
 
