@@ -190,7 +190,7 @@ class Labeller:
     def inputs(self, p: Page) -> np.ndarray:
         rows = np.concatenate(p.path) if p.path else np.zeros(0, np.int64)
         ends = np.concatenate(([0], np.cumsum([len(x) for x in p.path]))).astype(np.int64)
-        return np.concatenate((_mean_rows(self.paths, rows, ends) * 2, _mean_rows(self.words, p.words, p.word_ends), p.sizes), axis=1)
+        return np.concatenate((_mean_rows(self.paths, rows, ends) * np.diff(ends)[:, None].astype(np.float32), _mean_rows(self.words, p.words, p.word_ends), p.sizes), axis=1)
 
     def _lstm(self, x: np.ndarray, w: np.ndarray, live: np.ndarray, keep: list | None = None) -> np.ndarray:
         """x: (steps, pages, INPUT); a page's state stands still where it has no block."""
@@ -251,7 +251,7 @@ class Labeller:
                 out[i] = z[: len(pages[i].path), col] > 0
         return out
 
-    def train(self, pages: list[tuple[Page, np.ndarray]], epochs: int = 8, batch: int = 24, rate: float = 0.01, seed: int = 5) -> None:
+    def train(self, pages: list[tuple[Page, np.ndarray]], epochs: int = 12, batch: int = 16, rate: float = 0.01, seed: int = 5) -> None:
         pages = [(p, y) for p, y in pages if len(y)]
         if not pages:
             return
@@ -278,9 +278,9 @@ class Labeller:
                 dx = dx + dxb[::-1]
                 gp, gw = np.zeros_like(self.paths), np.zeros_like(self.words)
                 for col, (p, own) in enumerate(some):
-                    dp, dw = dx[: len(own), col, :PATH_DIM] * 2, dx[: len(own), col, PATH_DIM : PATH_DIM + WORD_DIM]
+                    dp, dw = dx[: len(own), col, :PATH_DIM], dx[: len(own), col, PATH_DIM : PATH_DIM + WORD_DIM]
                     count = np.array([len(r) for r in p.path])
-                    np.add.at(gp, np.concatenate(p.path), np.repeat(dp / count[:, None], count, axis=0))
+                    np.add.at(gp, np.concatenate(p.path), np.repeat(dp, count, axis=0))
                     n = np.diff(p.word_ends)
                     np.add.at(gw, p.words, np.repeat(dw / np.maximum(n, 1)[:, None], n, axis=0))
                 g["paths"], g["words"] = gp, gw

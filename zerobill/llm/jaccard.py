@@ -294,12 +294,12 @@ def _tiles(members: DataFrame, num: int, den: int) -> DataFrame:
     )
 
 
-def join_documents(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document, links being
-    ``den * common >= num * union`` over distinct ``k``-word shingles."""
+def _grouped(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n, node, place), node null for the empty set, and of each
+    node the component's smallest id and the place of the row that bears it."""
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # names the text of a node again without its id, which may be null or repeated
-    source = typed(docs, "doc_id", "text").withColumn("place", F.xxhash64("text"))
+    # names a row by its content: an id may be null or repeated
+    source = typed(docs, "doc_id", "text").withColumn("place", F.xxhash64("doc_id", "text"))
     rows = staged(spark, source.select("doc_id", "place", "text").mapInArrow(_sets_and_keys(k, num, den, buckets), _KINDS), "jaccard-sets")
     sets = rows.where(F.col("bucket").isNull()).select("doc_id", "n", "node", "place")
     stars = rows.where(F.col("bucket").isNotNull()).select("bucket", "nodes", "keys").groupBy("bucket").applyInPandas(_star_edges, "a bigint, b bigint")
@@ -308,21 +308,39 @@ def join_documents(spark: SparkSession, docs: DataFrame, k: int, num: int, den:
     # One text of each node in a cluster.
     nodes = staged(
         spark,
-        sets.where(F.col("node").isNotNull()).groupBy("node", "n").agg(F.min("doc_id").alias("low"), F.min(F.struct("place", "doc_id")).alias("at")),
+        sets.where(F.col("node").isNotNull()).groupBy("node", "n").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "place")).alias("low")),
         "jaccard-nodes",
     )
-    wanted = nodes.join(clusters, "node").select("node", "n", "cluster", F.col("at.place").alias("place"), F.col("at.doc_id").alias("at_id"))
-    texts = source.join(wanted, (source["place"] == wanted["place"]) & source["doc_id"].eqNullSafe(wanted["at_id"])).select("node", "cluster", "n", "text")
+    wanted = nodes.join(clusters, "node").select("node", "n", "cluster", F.col("low.place").alias("place"))
+    texts = source.select("place", "text").join(wanted, "place").select("node", "cluster", "n", "text")
     members = staged(spark, texts.mapInArrow(_set_bytes(k), "node bigint, cluster bigint, n bigint, hashes binary"), "jaccard-members")
     links = _tiles(members, num, den).groupBy("cluster", "t1", "t2").applyInPandas(_tile_edges(num, den), "a bigint, b bigint")
     groups = components(spark, links).select("node", "label")
 
     ids = nodes.join(groups, "node", "left").select("node", "low", F.coalesce("label", "node").alias("label"))
-    lowest = ids.groupBy("label").agg(F.min("low").alias("component_id"))
-    named = staged(spark, ids.select("node", "label").join(lowest, "label").select("node", "component_id"), "jaccard-names")
-    out = sets.join(named, "node", "left")
+    lowest = ids.groupBy("label").agg(F.min("low").alias("low"))
+    named = ids.select("node", "label").join(lowest, "label").select("node", F.col("low.doc_id").alias("component_id"), F.col("low.place").alias("place"))
+    return sets, staged(spark, named, "jaccard-names")
+
+
+def join_documents(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document, links being
+    ``den * common >= num * union`` over distinct ``k``-word shingles."""
+    sets, named = _grouped(spark, docs, k, num, den)
+    out = sets.join(named.drop("place"), "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def keep_one(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The rows of ``docs`` that bear the smallest id of their component, one
+    row each; rows without words all stay. Columns unchanged."""
+    _, named = _grouped(spark, docs, k, num, den)
+    rows = docs.withColumn("__place", F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string")))
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    winners = named.select(F.col("place").alias("__place")).distinct()
+    kept = rows.where(worded).join(winners, "__place", "left_semi").dropDuplicates(["__place"])
+    return kept.select(*docs.columns).unionAll(rows.where(~worded).select(*docs.columns))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_documents(spark, table(spark, sf_dir, "documents"), k=3, num=90, den=100)

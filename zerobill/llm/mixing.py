@@ -98,6 +98,18 @@ def mix_documents(
     )
 
 
+def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
+    """Every row of ``docs`` as often as the mix takes it, columns unchanged."""
+    sizes = docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.sum(n_words(F.col("text"))).alias("source_size"))
+    targets = source_targets(sizes, weights, max_repeat)
+    rate = F.least(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)), F.lit(float(max_repeat)))
+    rates = targets.select(F.col("source").alias("__source"), rate.alias("__rate"))
+    whole = F.floor("__rate")
+    copies = whole + F.when(uniform(F.col("doc_id"), F.col("text"), seed=seed) < F.col("__rate") - whole, 1).otherwise(0)
+    joined = docs.join(rates, F.col("source").cast("string").eqNullSafe(F.col("__source")))
+    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select(*docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_documents(spark, table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")

@@ -26,7 +26,9 @@ def _query(module: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(module) for name, module in MODULES.items()}
+    import corpus_pipeline
+
+    return {name: _query(module) for name, module in MODULES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -58,11 +58,16 @@ BLOCK_TOKENS = 1 << 18
 CACHE_WORDS = 1 << 20
 
 
-#: Up to Latin Extended-B lower case is one for one in any library and NFC changes nothing;
-#: without four control characters, white space is the same everywhere, too.
-_PLAIN = re.compile("[\\x00-\\x1b\\x20-\\u024f]*")
-#: A full stop or comma beside another ASCII mark, where a space between would cut a run of marks.
-_RUN = re.compile(r"[!-/:-@\[-`{-~][.,]|[.,][!-/:-@\[-`{-~]")
+def _byte_kinds() -> bytes:
+    """1: an ASCII mark; 2: a byte of what lower case, NFC or white space may treat in different ways; 0: the rest.
+
+    Up to U+023F lower case is one for one in any library and NFC changes
+    nothing; four control characters are white space to some only.
+    """
+    marks = {*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)}
+    return bytes(1 if b in marks else 2 if 0x1C <= b <= 0x1F or b >= 0xC9 else 0 for b in range(256))
+
+
 #: A word of letters with a run of ASCII marks behind it: two tokens of their own to the splitter.
 _MARKED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 
@@ -74,8 +79,12 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in visible else chr(0x100 + hidden.index(b)) for b in range(256)}
 
 
+def id_type(vocabulary: int, end_id: int) -> np.dtype:
+    return np.dtype("<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4")
+
+
 class WordEncoder:
-    """Ids of a text as a little-endian uint32 array, through a bounded cache of words.
+    """Ids of a text as a little-endian array, through a bounded cache of words.
 
     The cache outlives a task where Spark reuses its Python worker. An unseen
     word of lower-case letters is one token to the splitter and goes to the
@@ -89,24 +98,25 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.end = np.array([end_id], "<u4").tobytes()
+        self.kinds = _byte_kinds()
+        self.dtype = id_type(self.tokenizer.get_vocab_size(), end_id)
+        self.each = [np.array([i], self.dtype).tobytes() for i in range(max(self.tokenizer.get_vocab_size(), end_id + 1))]
+        self.end = self.each[end_id]
         kept = sys.modules.setdefault("zerobill_word_cache", types.ModuleType("zerobill_word_cache"))
-        self.cache: dict[str, bytes] = kept.__dict__.setdefault("words", {}).setdefault(path, {})
-
-    def _whole(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self.cache: dict[str, bytes] = kept.__dict__.setdefault("words", {}).setdefault((path, str(self.dtype)), {})
 
     def _one(self, word: str) -> bytes:
-        if not (word.isalpha() and word.islower() and word == word.lower() and _PLAIN.fullmatch(word)):
-            return self._whole(word)
-        level = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model.tokenize(level)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        each = self.each
+        if word.isalpha() and word.islower() and word == word.lower() and 2 not in (raw := word.encode()).translate(self.kinds):
+            return b"".join([each[t.id] for t in self.model.tokenize(raw.decode("latin-1").translate(self.letters))])
+        return b"".join([each[i] for i in self.tokenizer.encode(word, add_special_tokens=False).ids])
 
     def _learn(self, words: set[str]) -> None:
-        cache = self.cache
+        cache, each, tokenize = self.cache, self.each, self.model.tokenize
         for w in words:
-            if (m := _MARKED.fullmatch(w)) and m[1].isalpha():
+            if w.isascii() and w.isalpha() and w.islower():
+                cache[w] = b"".join([each[t.id] for t in tokenize(w)])
+            elif (m := _MARKED.fullmatch(w)) and m[1].isalpha():
                 for part in m.groups():
                     if part not in cache:
                         cache[part] = self._one(part)
@@ -115,9 +125,11 @@ class WordEncoder:
                 cache[w] = self._one(w)
 
     def _words(self, text: str) -> list[str]:
-        if _PLAIN.fullmatch(text):
+        kinds = text.encode().translate(self.kinds)
+        if b"\2" not in kinds:
             text = text.lower()
-            if not _RUN.search(text):
+            # a full stop or comma is a token of its own unless it stands in a run of marks
+            if b"\1\1" not in kinds:
                 text = text.replace(".", " . ").replace(",", " , ")
             return text.split()
         # Some white space is enough of a boundary; the rest stays inside a word for the library to handle.
@@ -137,7 +149,7 @@ class WordEncoder:
                 found[i] = self.cache[words[i]]
         out, a = [], 0
         for own in split:
-            out.append(np.frombuffer(b"".join(found[a : a + len(own)]) + self.end, "<u4"))
+            out.append(np.frombuffer(b"".join(found[a : a + len(own)]) + self.end, self.dtype))
             a += len(own)
         return out
 
@@ -187,7 +199,8 @@ _BLOCK = "part int, block int, docs binary, known binary, ends binary"
 
 
 def _ordered_blocks(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """Blocks of documents in ascending id order with their plain uint32 ids."""
+    """Blocks of documents in ascending id order with their plain ids, and one
+    row a task with the counts of its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -196,13 +209,17 @@ def _ordered_blocks(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         names: list[int | None] = []
         each: list[np.ndarray] = []
         held = 0
+        total = np.zeros(len(encode.each), "<i8")
+        columns = ["part", "block", "docs", "known", "ends", "ids", "counts"]
 
         def row() -> pa.RecordBatch:
+            nonlocal total
+            ids = np.concatenate(each)
+            total += np.bincount(ids, minlength=len(total))
             known = np.array([i is not None for i in names], np.uint8)
             ends = np.cumsum([len(r) for r in each]).astype("<i8")
-            values = [part, block, np.array([i or 0 for i in names], "<i8").tobytes(), known.tobytes(), ends.tobytes(), np.concatenate(each).tobytes()]
-            types = [pa.int32(), pa.int32()] + [pa.binary()] * 4
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], ["part", "block", "docs", "known", "ends", "ids"])
+            values = [part, block, np.array([i or 0 for i in names], "<i8").tobytes(), known.tobytes(), ends.tobytes(), ids.tobytes(), None]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, [pa.int32()] * 2 + [pa.binary()] * 5)], columns)
 
         for batch in batches:
             at, ids = 0, batch.column("doc_id").to_pylist()
@@ -217,52 +234,53 @@ def _ordered_blocks(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                     at += 1
         if names:
             yield row()
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *[pa.nulls(1, t) for t in [pa.int32()] + [pa.binary()] * 4], pa.array([total.tobytes()], pa.binary())], columns)
 
     tie = F.xxhash64("text")
     ordered = typed(docs, "doc_id", "text").repartitionByRange(F.col("doc_id"), tie).sortWithinPartitions("doc_id", tie)
-    return ordered.mapInArrow(run, f"{_BLOCK}, ids binary")
+    return ordered.mapInArrow(run, f"{_BLOCK}, ids binary, counts binary")
 
 
-def frequency_ranks(blocks: DataFrame) -> np.ndarray:
+def frequency_ranks(counts: DataFrame) -> np.ndarray:
     """Ids by falling frequency over all documents, ties by id.
 
-    Each task counts into one array of the vocabulary's size; the sums are at
-    most one row for each id of the vocabulary, a fixed bound.
+    ``counts`` holds an array of the vocabulary's size for each task; their
+    sum is at most one row for each id of the vocabulary, a fixed bound.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids in batch.column("ids"):
-                got = np.bincount(np.frombuffer(ids.as_py(), "<u4"))
-                if len(got) > len(total):
-                    total, got = got, total
-                total[: len(got)] += got
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "n"])
+            for own in batch.column("counts"):
+                n = np.frombuffer(own.as_py(), "<i8")
+                ids = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n[ids], pa.int64())], ["id", "n"])
 
-    counts = blocks.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    return counts.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(np.int64)
+    summed = counts.mapInArrow(listed, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    return summed.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(np.int64)
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Writes ``path``/blocks and ``path``/ranks. The texts are sorted and
     encoded once; the plain ids are staged until their ranks are known."""
     plain = staged(spark, _ordered_blocks(docs, tokenizer, end_id), "token-ids", compression="zstd")
-    order = frequency_ranks(plain)
+    order = frequency_ranks(plain.where(F.col("counts").isNotNull()).select("counts"))
     spark.createDataFrame(pd.DataFrame({"rank": np.arange(len(order)), "id": order}), "rank bigint, id bigint").write.parquet(f"{path}/ranks")
     rank_of = np.zeros(int(order.max(initial=0)) + 1, np.uint32)
     rank_of[order] = np.arange(len(order), dtype=np.uint32)
     shared = spark.sparkContext.broadcast(rank_of)  # at most the vocabulary
+    from tokenizers import Tokenizer
+
+    dtype = id_type(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ctrl, data = pack(shared.value[np.frombuffer(batch.column("ids")[i].as_py(), "<u4")])
+                ctrl, data = pack(shared.value[np.frombuffer(batch.column("ids")[i].as_py(), dtype)])
                 cols = [batch.column(c).slice(i, 1) for c in ("part", "block", "docs", "known", "ends")]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array([ctrl], pa.binary()), pa.array([data], pa.binary())], ["part", "block", "docs", "known", "ends", "ctrl", "data"])
 
-    plain.mapInArrow(run, f"{_BLOCK}, ctrl binary, data binary").write.option("compression", "zstd").parquet(f"{path}/blocks")
+    blocks = plain.where(F.col("counts").isNull()).drop("counts")
+    blocks.mapInArrow(run, f"{_BLOCK}, ctrl binary, data binary").write.option("compression", "zstd").parquet(f"{path}/blocks")
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
