@@ -170,15 +170,16 @@ def _batches(column: pa.Array, rows: int = 1024, chars: int = 1 << 21) -> Iterat
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control bytes, data bytes) of unsigned 32-bit numbers."""
-    ranks = ranks.astype("<u4")
-    extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    padded[: len(ranks)] = extra
-    quads = padded.reshape(-1, 4)
+    """(control bytes, data bytes) of unsigned 16- or 32-bit numbers."""
+    width = ranks.dtype.itemsize
+    extra = (ranks > 0xFF).astype(np.uint8)
+    if width > 2:
+        extra += (ranks > 0xFFFF).astype(np.uint8) + (ranks > 0xFFFFFF)
+    quads = np.zeros((-(-len(ranks) // 4), 4), np.uint8)
+    quads.ravel()[: len(ranks)] = extra
     ctrl = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    raw = ranks.view(np.uint8).reshape(-1, 4)
-    return ctrl.astype(np.uint8).tobytes(), raw[np.arange(4) <= extra[:, None]].tobytes()
+    raw = ranks.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+    return ctrl.tobytes(), raw[np.arange(width, dtype=np.uint8) <= extra[:, None]].tobytes()
 
 
 def _lengths() -> np.ndarray:
@@ -190,9 +191,10 @@ def _lengths() -> np.ndarray:
 def unpack(ctrl: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` numbers again: lengths by table lookup, bytes by their places."""
     lengths = _lengths()[np.frombuffer(ctrl, np.uint8)].ravel()[:n]
-    raw = np.zeros((n, 4), np.uint8)
-    raw[np.arange(4) < lengths[:, None]] = np.frombuffer(data, np.uint8)
-    return raw.view("<u4").ravel()
+    width = 2 if lengths.max(initial=1) <= 2 else 4
+    raw = np.zeros((n, width), np.uint8)
+    raw[np.arange(width, dtype=np.uint8) < lengths[:, None]] = np.frombuffer(data, np.uint8)
+    return raw.view(f"<u{width}").ravel()
 
 
 _BLOCK = "part int, block int, docs binary, known binary, ends binary"
@@ -262,11 +264,11 @@ def frequency_ranks(counts: DataFrame) -> np.ndarray:
 def write_token_files(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Writes ``path``/blocks and ``path``/ranks. The texts are sorted and
     encoded once; the plain ids are staged until their ranks are known."""
-    plain = staged(spark, _ordered_blocks(docs, tokenizer, end_id), "token-ids", compression="zstd")
+    plain = staged(spark, _ordered_blocks(docs, tokenizer, end_id), "token-ids")
     order = frequency_ranks(plain.where(F.col("counts").isNotNull()).select("counts"))
     spark.createDataFrame(pd.DataFrame({"rank": np.arange(len(order)), "id": order}), "rank bigint, id bigint").write.parquet(f"{path}/ranks")
-    rank_of = np.zeros(int(order.max(initial=0)) + 1, np.uint32)
-    rank_of[order] = np.arange(len(order), dtype=np.uint32)
+    rank_of = np.zeros(int(order.max(initial=0)) + 1, id_type(len(order), 0))
+    rank_of[order] = np.arange(len(order))
     shared = spark.sparkContext.broadcast(rank_of)  # at most the vocabulary
     from tokenizers import Tokenizer
 
