@@ -148,7 +148,7 @@ def _sets_and_keys(k: int, num: int, den: int, buckets: int):
                     + [pa.nulls(j - i, pa.int32()), pa.nulls(j - i, pa.binary()), pa.nulls(j - i, pa.binary())],
                     ["doc_id", "n", "node", "place", "bucket", "nodes", "keys"],
                 )
-                if held > 4_000_000 or len(nodes) >= 1 << 23:
+                if held > 1_000_000 or len(nodes) >= 1 << 23:
                     yield from pack(nodes, keys)
                     nodes, keys, seen, held = [], [], set(), 0
         yield from pack(nodes, keys)

@@ -197,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, max_bytes:
 
 def _scores(net: Network, batch: pa.RecordBatch) -> np.ndarray:
     data, offsets = utf8(batch.column("text"))
-    parts = [net.score(data, offsets[i : j + 1]) for i, j in slices(offsets, 1 << 20)]
+    parts = [net.score(data, offsets[i : j + 1]) for i, j in slices(offsets, 1 << 19)]
     return np.concatenate(parts) if parts else np.zeros(0)
 
 

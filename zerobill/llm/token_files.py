@@ -54,8 +54,9 @@ from zerobill.session import scratch_path
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 BLOCK_TOKENS = 1 << 18
-#: Words a task remembers before it starts anew.
-CACHE_WORDS = 1 << 20
+#: Words in each of a worker's two generations: when the young one is full it
+#: becomes the old one, and words found there move back.
+CACHE_WORDS = 1 << 18
 
 
 def _byte_kinds() -> bytes:
@@ -103,7 +104,8 @@ class WordEncoder:
         self.each = [np.array([i], self.dtype).tobytes() for i in range(max(self.tokenizer.get_vocab_size(), end_id + 1))]
         self.end = self.each[end_id]
         kept = sys.modules.setdefault("zerobill_word_cache", types.ModuleType("zerobill_word_cache"))
-        self.cache: dict[str, bytes] = kept.__dict__.setdefault("words", {}).setdefault((path, str(self.dtype)), {})
+        self.kept: list[dict[str, bytes]] = kept.__dict__.setdefault("words", {}).setdefault((path, str(self.dtype)), [{}, {}])
+        self.cache = self.kept[0]
 
     def _one(self, word: str) -> bytes:
         each = self.each
@@ -143,8 +145,13 @@ class WordEncoder:
             unseen = [i for i, v in enumerate(found) if v is None]
             new = {words[i] for i in unseen}
             if len(self.cache) + 2 * len(new) > CACHE_WORDS:
-                self.cache.clear()
-            self._learn(new)
+                self.kept[:] = [{}, self.cache]
+                self.cache = self.kept[0]
+                new = set(words)
+            old = self.kept[1]
+            self.cache.update((w, old[w]) for w in new if w in old)
+            self._learn(new.difference(self.cache))
+            unseen = [i for i, v in enumerate(found) if v is None]
             for i in unseen:
                 found[i] = self.cache[words[i]]
         out, a = [], 0
