@@ -1,0 +1,286 @@
+"""Every operator on edge rows and empty tables, and against brute force on sf0.001 / sf0.01."""
+
+import math
+import re
+import zlib
+from collections import Counter
+from itertools import combinations
+
+import duckdb
+import numpy as np
+import pytest
+
+from zerobill.llm import (
+    components, decontaminate, html_extract, jaccard, maxent, mixing, quality_cnn, quality_rules, queries, sharding, token_files, toxicity,
+)
+
+SMALL, MID = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lower(t):
+    return re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")
+
+
+def documents(spark, where=SMALL):
+    return spark.read.parquet(f"{where}/documents.parquet")
+
+
+def rows(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def brute_components(docs, k, num, den):
+    sets = []
+    for _, t in docs:
+        w = WORD.findall(lower(t))
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set())
+    parent = list(range(len(docs)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in combinations(range(len(docs)), 2):
+        a, b = sets[i], sets[j]
+        if a and b and min(len(a), len(b)) * den >= num * max(len(a), len(b)) and den * len(a & b) >= num * len(a | b):
+            parent[root(j)] = root(i)
+    low = {}
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            low[root(i)] = min(low.get(root(i), d), d)
+    return sorted(((d, len(sets[i]), low.get(root(i))) for i, (d, _) in enumerate(docs)), key=str)
+
+
+@pytest.mark.parametrize("k,num", [(3, 90), (5, 80)])
+def test_jaccard_against_all_pairs(spark, edge_docs, no_docs, k, num):
+    for docs in (edge_docs, documents(spark)):
+        got = sorted(map(tuple, jaccard.join_documents(spark, docs, k, num, 100).collect()), key=str)
+        assert got == brute_components([tuple(r) for r in docs.select("doc_id", "text").collect()], k, num, 100)
+    assert jaccard.join_documents(spark, no_docs, k, num, 100).count() == 0
+
+
+def test_jaccard_large_cluster_is_tiled(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    base = [f"w{i}" for i in range(60)]
+    docs = []
+    for d in range(120):
+        w = list(base)
+        for i in rng.integers(0, 60, rng.integers(0, 4)):
+            w[i] = f"e{d}x{i}"
+        docs.append((d, " ".join(w[: 60 - int(rng.integers(0, 5))])))
+    monkeypatch.setattr(jaccard, "TILE", 16)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = sorted(map(tuple, jaccard.join_documents(spark, df, 3, 80, 100).collect()), key=str)
+    assert got == brute_components(docs, 3, 80, 100)
+
+
+def test_components_of_a_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 100)], "a bigint, b bigint")
+    got = {r["node"]: r["label"] for r in components.components(spark, edges).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 90: 90, 100: 90}
+
+
+def test_decontamination_finds_whole_items_only(spark, no_docs):
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    items = [tuple(r) for r in bench.select("item_id", "text").collect()]
+    item, text = items[0]
+    filler = "some other words that stand here alone " * 40
+    docs = [(1, filler + text + " " + filler), (2, filler), (3, None), (None, text.upper()), (4, " ".join(text.split()[:6])), (5, ""), (1, filler + text + " " + filler)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = decontaminate.contaminated(spark, df, bench)
+    assert sorted(((r["doc_id"], r["item_id"]) for r in got.collect()), key=str) == sorted([(1, item), (1, item), (None, item)], key=str)
+    assert sorted(r["doc_id"] for r in decontaminate.contaminated(spark, df, bench, keep=True).collect()) == [2, 3, 4, 5]
+    assert decontaminate.contaminated(spark, no_docs, bench).count() == 0
+    assert decontaminate.contaminated(spark, df, bench.limit(0)).count() == 0
+
+
+def test_decontamination_against_brute_force(spark):
+    bench = [tuple(r) for r in spark.read.parquet(f"{MID}/benchmark.parquet").select("item_id", "text").collect()]
+    want = set()
+    for d, t in [tuple(r) for r in documents(spark, MID).select("doc_id", "text").collect()]:
+        words = re.findall(r"\w+", t.lower())
+        grams = {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+        for item, text in bench:
+            own = re.findall(r"\w+", text.lower())
+            mine = {tuple(own[i : i + 5]) for i in range(len(own) - 4)}
+            if mine and len(mine & grams) > 0.5 * len(mine):
+                want.add((d, item))
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.query(spark, MID).collect()}
+    assert got == want
+
+
+def test_block_max_wand_equals_scoring_all(spark):
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    index = next(decontaminate._indexes(bench))
+    for block in range(index.blocks):
+        terms = sorted({t for t, b in index.lists if b == block})
+        score = Counter()
+        for t in terms:
+            for i, w in index.lists[t, block]:
+                score[i] += w
+        assert {i for i, _ in index.wand(terms, block)} == {i for i, s in score.items() if s >= index.need[i] - 1e-9}
+
+
+def test_token_files_round_trip(spark, edge_docs, no_docs):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path(token_files.TOKENIZER))
+    for docs in (edge_docs, documents(spark)):
+        want, start = [], 0
+        for d, text in sorted(map(tuple, docs.select("doc_id", "text").collect()), key=lambda r: (r[0] is not None, r[0] or 0)):
+            ids = t.encode(text or "", add_special_tokens=False).ids + [1]
+            want.append((d, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        got = sorted(token_files.token_files(spark, docs).selectExpr("doc_id", "start", "n_tokens", "crc32(ids) c").collect(), key=lambda r: r["start"])
+        for r in got:
+            assert r["start"] == start
+            start += r["n_tokens"]
+        assert sorted(((r["doc_id"], r["n_tokens"], r["c"]) for r in got), key=str) == sorted(want, key=str)
+    assert token_files.token_files(spark, no_docs).count() == 0
+
+
+def test_word_encoder_equals_the_library():
+    import public_tokenizers
+
+    e = token_files.WordEncoder(public_tokenizers.path(token_files.TOKENIZER), 1)
+    for text in ["don't. it's", "l'été, où?", "ΑΣ. İ é", "a\x85b\xa0c\x1cd", "<|endoftext|>, x", "A,B.c!? 12.5", "", "ªb ²c µ"]:
+        assert e([text])[0].tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids + [1]
+
+
+@pytest.mark.parametrize("ranks", [[], [0], [255, 256, 65535], [65536, 1, 1 << 24, (1 << 32) - 1, 7]])
+def test_pack_round_trip(ranks):
+    x = np.array(ranks, np.uint32)
+    assert token_files.unpack(*token_files.pack(x), len(x)).tolist() == ranks
+
+
+def base_counts(t):
+    w = WORD.findall(t or "")
+    windows = Counter(zip(w, w[1:], w[2:]))
+    marked = {i + o for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for o in range(3)}
+    seen, dup = set(), 0
+    for line in (t or "").split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), dup, len(marked)
+
+
+def test_quality_rules_counts_and_verdict(spark, edge_docs, edge_labels, no_docs):
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    for docs in (edge_docs, documents(spark)):
+        trees = quality_rules.train(docs, edge_labels)
+        got = sorted((tuple(r[n] for n in ("doc_id", *names)) for r in rows(quality_rules.score_documents(docs, trees))), key=str)
+        assert got == sorted(((d, *base_counts(t)) for d, t in docs.select("doc_id", "text").collect()), key=str)
+    assert quality_rules.score_documents(no_docs, trees).count() == 0
+    x = np.random.default_rng(0).random((400, 2))
+    m = quality_rules.fit_trees(x, (x[:, 0] + 0.3 * np.random.default_rng(1).random(400) < 0.6).astype(float), monotone=(-1, 0))
+    line = np.stack([np.linspace(0, 1, 200), np.full(200, 0.5)], axis=1)
+    assert (np.diff(m.score(line)) <= 1e-12).all()
+
+
+def held_out_rates(spark, df, label, column):
+    labels = {r["doc_id"]: r[label] for r in spark.read.parquet(f"{MID}/labels.parquet").collect()}
+    got = [(labels[r["doc_id"]], r[column]) for r in df.collect() if r["doc_id"] in labels and zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
+    return np.mean([bool(a) == bool(b) for a, b in got])
+
+
+def test_quality_rules_held_out(spark):
+    kept = quality_rules.query(spark, MID).where("not base_failed")
+    assert held_out_rates(spark, kept, "quality", "kept") > 0.95
+
+
+def test_byte_network(spark, edge_docs, edge_labels, no_docs):
+    assert held_out_rates(spark, quality_cnn.query(spark, MID), "quality", "predicted") > 0.95
+    net = quality_cnn.fit(edge_docs, edge_labels)
+    got = rows(quality_cnn.score_documents(edge_docs, net))
+    assert len(got) == edge_docs.count() and all(0 <= r["score"] <= 1 for r in got)
+    assert quality_cnn.score_documents(no_docs, net).count() == 0
+    assert quality_cnn.fit(edge_docs, edge_labels.limit(0)).constant == 0.5
+    assert quality_cnn.keep_good(edge_docs, net, 0.0).columns == edge_docs.columns
+
+
+def test_toxicity(spark, edge_docs, edge_labels, no_docs):
+    assert held_out_rates(spark, toxicity.query(spark, MID), "toxic", "predicted") > 0.9
+    model = toxicity.fit(spark, edge_docs, edge_labels)
+    got = rows(toxicity.score_documents(spark, edge_docs, model))
+    assert len(got) == edge_docs.count() and all(0 <= r["score"] <= 1 for r in got)
+    assert toxicity.score_documents(spark, no_docs, model).count() == 0
+
+
+def test_nearest_examples_are_exact():
+    rng = np.random.default_rng(2)
+    v = (rng.random((500, 30)) * (rng.random((500, 30)) < 0.15)).astype(np.float32)
+    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+    index = toxicity.BlockMaxIndex(v, rng.integers(0, 2, 500).astype(float), np.arange(500))
+    q = v[:50]
+    sim, _ = index.nearest(q, 9)
+    want = -np.sort(-(q @ index.vectors.T), axis=1)[:, :9]
+    np.testing.assert_allclose(np.maximum(sim, 0), np.maximum(want, 0), atol=1e-5)
+
+
+def test_language_model(spark, edge_docs, no_docs, monkeypatch):
+    monkeypatch.setattr(maxent, "HEAD", 500)  # so that some words take the shuffled way
+    for docs in (edge_docs, documents(spark)):
+        data = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+        out = lambda d: d is not None and zlib.crc32(str(d).encode()) % 10 == 0
+        words = [[*WORD.findall(lower(t)), None] for _, t in data]
+        c = Counter(w for (d, _), ws in zip(data, words) if not out(d) for w in ws)
+        n, v = sum(c.values()), len(c)
+        want = sorted((str(d), out(d), len(ws), sum(c[w] > 0 for w in ws), n, round(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws), 4)) for (d, _), ws in zip(data, words))
+        training = maxent.typed(docs, "doc_id", "text").where(~maxent.held_out(maxent.F.col("doc_id"), 10, 0)).na.fill({"text": ""})
+        vocabulary = maxent.word_counts(training)
+        scored = rows(maxent.score_documents(spark, docs, maxent.train(spark, training, vocabulary), vocabulary))
+        got = sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4)) for r in scored)
+        assert got == want
+        assert all(r["score"] < 0 for r in scored)
+    assert sum(r["score"] for r in scored) > sum(r["base_score"] for r in scored)
+    none = maxent.word_counts(no_docs.select("text"))
+    assert maxent.score_documents(spark, no_docs, maxent.train(spark, maxent.typed(no_docs, "doc_id", "text"), none), none).count() == 0
+
+
+def test_shards(spark, edge_docs, no_docs):
+    for docs in (edge_docs, documents(spark, MID)):
+        got = rows(sharding.shard_documents(spark, docs))
+        assert len(got) == docs.count()
+        by = {}
+        for r in got:
+            by.setdefault(r["shard"], []).append(r)
+        assert set(by) <= set(range(24))
+        assert all(sorted(r["slot"] for r in own) == list(range(len(own))) for own in by.values())
+    sizes = [sum(r["size"] for r in own) for own in by.values()]
+    largest = max(r["size"] for r in got)
+    assert len(sizes) == 24 and max(sizes) - min(sizes) <= largest
+    assert sharding.shard_documents(spark, no_docs).count() == 0
+
+
+def test_mixing(spark, edge_docs, no_docs):
+    got = rows(mixing.mix_documents(spark, edge_docs))
+    assert len(got) == edge_docs.count() and all(r["copies"] <= 3 for r in got)
+    assert mixing.mix_documents(spark, no_docs).count() == 0 and mixing.mixed_rows(no_docs).count() == 0
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{MID}/documents.parquet'")
+    want = con.execute(mixing.ORACLE_SQL).fetchall()
+    out = mixing.query(spark, MID)
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+    assert mixing.mixed_rows(documents(spark, MID)).count() == sum(r[-1] for r in want)
+    assert "Python" not in out._jdf.queryExecution().toString()
+
+
+def test_html_extract(spark):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    model = html_extract.fit(pages)
+    edge = [(1, "u", None), (2, None, ""), (None, "v", "<p>unclosed <b>text"), (3, "w", "<script>x</script>"), (3, "w", "<script>x</script>")]
+    df = spark.createDataFrame(edge, "page_id bigint, url string, html string")
+    assert html_extract.extract_pages(spark, df, model).count() == 5
+    assert html_extract.extract_pages(spark, pages.limit(0), model).count() == 0
+    assert html_extract.fit(pages.limit(0)).fitted is False
+    found = {r["page_id"]: r["text"] for r in html_extract.extract_pages(spark, pages, model).collect()}
+    want = {r["page_id"]: " ".join(t for p, t, _ in html_extract.blocks(r["html"]) if html_extract.teacher(p)) for r in pages.collect()}
+    assert np.mean([found[k] == want[k] for k in want]) > 0.98
+    assert html_extract.blocks("<p>a &amp; <b>b</b>c\n d<br>e")[0][1] == "a & bc d"
+
+
+def test_registered():
+    assert {q.split("_")[0] for q in queries.queries()} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
