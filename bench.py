@@ -46,19 +46,17 @@ def main() -> None:
     # warm-up: JIT, file listing and metadata caches
     _execute(QUERIES["q16_all_alarms"](spark, sf_dir))
 
-    def job(key_limit: int | None) -> None:
+    def job() -> None:
         run_month(
             spark,
             fixture_sources(spark, sf_dir),
             FIXTURE_RUN,
             scratch_path(spark, "bench_zero_invoices"),
             scratch_path(spark, "bench_alarm_final"),
-            key_limit=key_limit,
         )
 
     runs = {name: (lambda q=query: _execute(q(spark, sf_dir))) for name, query in QUERIES.items()}
-    runs["job_run_month"] = lambda: job(None)  # counted broadcast of the zero keys
-    extra = {"job_run_month_plain_joins": lambda: job(0)}  # fallback path, reported apart
+    runs["job_run_month"] = job
     def timed(table: dict) -> dict[str, float]:
         out: dict[str, float] = {}
         for _ in range(REPEATS):
@@ -70,7 +68,6 @@ def main() -> None:
         return out
 
     times = timed(runs)
-    other = timed(extra)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
@@ -83,7 +80,6 @@ def main() -> None:
         "flagship_sec": times["q16_all_alarms"],
         "cpus": cpus,
         "timing": f"min of {REPEATS} warm runs, plan construction included",
-        "not_in_total": other,
     }
     print(json.dumps(out))
     spark.stop()

@@ -69,34 +69,50 @@ def test_replace_period_is_idempotent(spark):
 import pytest
 
 
-@pytest.mark.parametrize("key_limit", [None, 0])   # size-checked broadcast / plain shuffle joins
-def test_run_month_writes_kept_table_and_alarms(spark, key_limit):
+def test_run_month_writes_kept_table_and_alarms(spark):
     sources = fixture_sources(spark, SF_SMALL)
     kept = scratch_path(spark, "kept")
     target = scratch_path(spark, "alarm")
-    run_month(spark, sources, FIXTURE_RUN, kept, target, key_limit=key_limit)
+    run_month(spark, sources, FIXTURE_RUN, kept, target)
     plan = AlarmPlan(sources, FIXTURE_RUN)
     assert _bag(spark.read.orc(kept)) == _bag(plan.zero_invoices)
     assert _bag(sinks.read_alarms(spark, target)) == _bag(plan.all_alarms(with_timestamp=True))
 
 
-def test_zero_keys_are_broadcast_only_within_the_limit(spark):
+def test_zero_keys_cut_tax_and_customer_without_hints(spark):
     import contextlib
     import io
 
     from zerobill.plans.job import enrich_zero_billing
 
     sources = fixture_sources(spark, SF_SMALL)
-    zero_billing = AlarmPlan(sources, FIXTURE_RUN).zero_billing
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        enrich_zero_billing(sources, AlarmPlan(sources, FIXTURE_RUN).zero_billing).explain(True)
+    assert "LeftSemi" in buf.getvalue() and "ResolvedHint" not in buf.getvalue()
 
-    def plan(limit):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            enrich_zero_billing(sources, zero_billing, 14, limit).explain()
-        return buf.getvalue()
 
-    assert "BroadcastHashJoin" in plan(14) and "LeftSemi" in plan(14)
-    assert "LeftSemi" not in plan(13)
+def test_run_month_leaves_no_staging(spark):
+    import glob
+
+    root = scratch_path(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
+    before = set(glob.glob(f"{root}/zero_billing-*"))
+    sources = fixture_sources(spark, SF_SMALL)
+    run_month(spark, sources, FIXTURE_RUN, scratch_path(spark, "kept"), scratch_path(spark, "alarm"))
+    with pytest.raises(Exception):
+        run_month(spark, sources, FIXTURE_RUN, "nosuchfs://x/kept", scratch_path(spark, "alarm"))
+    assert set(glob.glob(f"{root}/zero_billing-*")) == before
+    with pytest.raises(ValueError):
+        run_month(spark, sources, FIXTURE_RUN, "k", "t", alarm_format=None, idempotent=True)
+
+
+def test_replace_period_clears_an_empty_month(spark):
+    alarms = AlarmPlan(fixture_sources(spark, SF_SMALL), FIXTURE_RUN).all_alarms(with_timestamp=True)
+    path = scratch_path(spark, "alarm")
+    sinks.replace_period(alarms, path, period=FIXTURE_RUN.period)
+    assert sinks.read_alarms(spark, path).count() > 0
+    sinks.replace_period(alarms.limit(0), path, period=FIXTURE_RUN.period)
+    assert sinks.read_alarms(spark, path).count() == 0
 
 
 def test_command_line_run(spark):

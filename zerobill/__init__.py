@@ -9,7 +9,6 @@ The package is organised like a Spark job:
 * ``operators`` – ``DataFrame -> DataFrame`` relational steps (roll-ups, joins,
                   zero-invoice filter, month pivot, alarm grains).
 * ``plans``     – the whole monthly job wired together and the query registry.
-* ``streaming`` – intentionally empty: the job is a monthly batch.
 """
 
 from zerobill.run import RunContext

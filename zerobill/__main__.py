@@ -19,7 +19,7 @@ import datetime as dt
 
 from zerobill.plans.job import run_month
 from zerobill.run import RunContext
-from zerobill.session import build_session
+from zerobill.session import build_session, cluster_conf
 from zerobill.sources.catalog import read_sources
 
 
@@ -34,6 +34,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--alarm-table", required=True)
     p.add_argument("--alarm-format", default=None, help="write to a path in this format")
     p.add_argument("--replace-period", action="store_true")
+    p.add_argument("--input-bytes", type=int, default=None, help="bytes the job scans; with --cores sizes scans and shuffles")
+    p.add_argument("--cores", type=int, default=None, help="cores of the cluster")
     return p.parse_args(argv)
 
 
@@ -41,7 +43,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parse_args(argv)
     if args.replace_period and not args.alarm_format:
         raise SystemExit("--replace-period writes partitioned files: give --alarm-format too")
-    spark = build_session(app_name="zerobill-monthly")
+    sized = cluster_conf(args.input_bytes, args.cores) if args.input_bytes and args.cores else None
+    spark = build_session(app_name="zerobill-monthly", extra=sized)
     sources = read_sources(
         spark,
         {
@@ -53,11 +56,10 @@ def main(argv: list[str] | None = None) -> None:
         },
         fmt=args.input_format,
     )
-    now = dt.datetime.now().replace(microsecond=0)
     run_month(
         spark,
         sources,
-        RunContext(args.run_date, now),
+        RunContext(args.run_date),
         zero_invoice_path=args.zero_invoice_path,
         alarm_target=args.alarm_table,
         alarm_format=args.alarm_format,

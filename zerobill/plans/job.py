@@ -3,10 +3,10 @@
 ``AlarmPlan`` exposes every intermediate table of the job as a DataFrame
 (nothing is computed until an action). ``run_month`` is the production entry
 point. It first stores the zero invoice-months of the window (the only part
-that needs the full billing scan) below the shared checkpoint folder, counts
-them, and, when that count proves the key lists small, broadcasts them to cut
-the tax snapshot and the customer table down to the zero invoices' keys
-before those are aggregated and shuffled; otherwise it runs the plain joins.
+that needs the full billing scan) below the shared checkpoint folder and
+semi-joins the tax snapshot and the customer table on the zero invoices' keys
+before those are aggregated and shuffled; the planner chooses the joins from
+the stored size. The staging is dropped once the kept table is written.
 It then writes the kept zero-invoice table, reads it back (a second lineage
 cut: the alarm stage never re-reads the raw sources) and appends the alarms.
 
@@ -23,7 +23,10 @@ because the result provably does not change:
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import replace
 from functools import cached_property
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +35,7 @@ from zerobill.operators import alarm as A
 from zerobill.operators import rollup as R
 from zerobill.operators import zero as Z
 from zerobill.run import RunContext
-from zerobill.session import scratch_path
+from zerobill.session import drop_path, scratch_path
 from zerobill.sources import Sources
 from zerobill.sources import sinks
 
@@ -116,48 +119,22 @@ def alarms_from_zero_invoices(
     return A.all_alarms(counter, alarm_factor, ctx, with_timestamp)
 
 
-def broadcast_key_limit(spark: SparkSession) -> int:
-    """How many bigint keys may be broadcast: the session's broadcast budget
-    (``spark.sql.autoBroadcastJoinThreshold``) at ~32 bytes per hashed key."""
-    budget = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    budget_bytes = _to_bytes(budget)
-    return max(budget_bytes // 32, 0) if budget_bytes > 0 else 0
-
-
-def _to_bytes(text: str) -> int:
-    text = str(text).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-             "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-    for suffix in sorted(units, key=len, reverse=True):
-        if text.endswith(suffix) and text[: -len(suffix)].strip().lstrip("-").isdigit():
-            return int(text[: -len(suffix)]) * units[suffix]
-    return int(text)
-
-
-def enrich_zero_billing(
-    sources: Sources, zero_billing: DataFrame, rows: int, key_limit: int
-) -> DataFrame:
+def enrich_zero_billing(sources: Sources, zero_billing: DataFrame) -> DataFrame:
     """Zero invoice-months with tax and customer attached (the kept table).
 
-    ``rows`` is the counted size of ``zero_billing`` and bounds both of its
-    key lists. Within ``key_limit`` the invoice and account lists are
-    broadcast and semi-join the tax lines and customer rows first, so only
-    the rows that can match are aggregated and shuffled; beyond it the plain
-    shuffle joins run. Both give the same rows.
+    The invoice and account keys semi-join the tax lines and customer rows
+    first, so only rows that can match are aggregated and shuffled. No hint:
+    ``zero_billing`` is read from files, so the planner knows its size and
+    picks a broadcast or a shuffle itself.
     """
-    tax_systems = sources.tax_lines()
-    customer = sources.customer
-    if rows <= key_limit:
-        bills = F.broadcast(zero_billing.select("bill_ref_no").distinct())
-        accounts = F.broadcast(zero_billing.select("account_no").distinct())
-        tax_systems = {
-            k: R.latest_snapshot(v).join(bills, "bill_ref_no", "left_semi")
-            for k, v in tax_systems.items()
-        }
-        customer = customer.join(accounts, "account_no", "left_semi")
-        tax = R.invoice_tax(tax_systems, None, snapshot_applied=True)
-    else:
-        tax = R.invoice_tax(tax_systems, None)
+    bills = zero_billing.select("bill_ref_no").distinct()
+    accounts = zero_billing.select("account_no").distinct()
+    tax_systems = {
+        k: R.latest_snapshot(v).join(bills, "bill_ref_no", "left_semi")
+        for k, v in sources.tax_lines().items()
+    }
+    customer = sources.customer.join(accounts, "account_no", "left_semi")
+    tax = R.invoice_tax(tax_systems, None, snapshot_applied=True)
     with_tax = R.attach_tax(zero_billing, tax)
     return Z.zero_invoices(R.attach_customer(with_tax, R.customer_segments(customer)))
 
@@ -170,28 +147,35 @@ def run_month(
     alarm_target: str,
     alarm_format: str | None = sinks.ORC,
     idempotent: bool = False,
-    key_limit: int | None = None,
 ) -> DataFrame:
     """Run the whole job for ``ctx`` and return the alarm rows written.
 
-    1. store the zero invoice-months below ``spark.checkpoint.dir`` and count them;
-    2. overwrite the kept zero-invoice table (ORC, snappy), enriched with a
-       size-checked broadcast of the zero keys or with plain shuffle joins;
+    1. stage the zero invoice-months below ``spark.checkpoint.dir``;
+    2. overwrite the kept zero-invoice table (ORC, snappy), enriched by
+       semi-joins on the zero keys, and drop the staging, also on failure;
     3. read it back and build the alarms from it;
     4. append them to ``alarm_target`` (or, with ``idempotent=True``, replace
-       that month's partition so a re-run does not duplicate alarms).
+       that month's partitions so a re-run does not duplicate alarms).
+
+    The run timestamp is fixed at the start, so the returned frame repeats the
+    stored rows.
     """
+    if idempotent and alarm_format is None:
+        raise ValueError("idempotent=True writes partitioned files: give alarm_format")
+    if ctx.run_ts is None:
+        now = dt.datetime.now(ZoneInfo(spark.conf.get("spark.sql.session.timeZone")))
+        ctx = replace(ctx, run_ts=now.replace(tzinfo=None, microsecond=0))
     plan = AlarmPlan(sources, ctx)
     stage_path = scratch_path(spark, "zero_billing")
-    sinks.write_table(plan.zero_billing, stage_path)
-    zero_billing = spark.read.orc(stage_path)
-    rows = zero_billing.count()
-    limit = broadcast_key_limit(spark) if key_limit is None else key_limit
-    sinks.write_table(enrich_zero_billing(sources, zero_billing, rows, limit), zero_invoice_path)
+    try:
+        sinks.write_table(plan.zero_billing, stage_path)
+        sinks.write_table(enrich_zero_billing(sources, spark.read.orc(stage_path)), zero_invoice_path)
+    finally:
+        drop_path(spark, stage_path)
     stored = spark.read.orc(zero_invoice_path)
     alarms = alarms_from_zero_invoices(stored, sources.alarm_factor, ctx, with_timestamp=True)
     if idempotent:
-        sinks.replace_period(alarms, alarm_target, alarm_format or sinks.ORC)
+        sinks.replace_period(alarms, alarm_target, alarm_format, period=ctx.period)
     else:
         sinks.append_alarms(alarms, alarm_target, alarm_format)
     return alarms

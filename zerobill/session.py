@@ -36,7 +36,6 @@ def cluster_conf(
     shuffle_fraction: float = 0.1,
     scan_split_bytes: int = 256 * MB,
     shuffle_partition_bytes: int = 256 * MB,
-    max_partitions: int = 65536,
 ) -> dict[str, str]:
     """Partition sizing for a large run, from the bytes the job scans.
 
@@ -52,7 +51,7 @@ def cluster_conf(
     if input_bytes <= 0 or total_cores <= 0:
         raise ValueError("input_bytes and total_cores must be positive")
     wanted = -(-int(input_bytes * shuffle_fraction) // shuffle_partition_bytes)
-    partitions = min(max(2 * total_cores, wanted), max_partitions)
+    partitions = max(2 * total_cores, wanted)
     return {
         "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
@@ -93,6 +92,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None
     )
+    if not configured and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="zerobill-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -101,3 +102,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/zerobill/{name}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zerobill.schemas import ALARM_COLUMNS, ALARM_SCHEMA
+from zerobill.session import drop_path
 
 ORC = "orc"
 SNAPPY = "snappy"
@@ -101,11 +102,12 @@ def append_alarms(df: DataFrame, target: str, fmt: str | None = ORC) -> None:
         rows.write.format(fmt).mode("append").option("compression", SNAPPY).save(target)
 
 
-def replace_period(df: DataFrame, path: str, fmt: str = ORC) -> None:
+def replace_period(df: DataFrame, path: str, fmt: str = ORC, period: str | None = None) -> None:
     """Idempotent alternative: overwrite only the ``(assunto, periodo)`` partitions written.
 
     Partition columns are stored in the folder names, so ``read_alarms``
-    restores the table order.
+    restores the table order. With ``period``, subjects of that period for
+    which ``df`` has no rows any more are cleared, too.
     """
     rows = _positional(df)
     (
@@ -116,9 +118,16 @@ def replace_period(df: DataFrame, path: str, fmt: str = ORC) -> None:
         .partitionBy("assunto", "periodo")
         .save(path)
     )
+    if period is not None:
+        spark = df.sparkSession
+        stored = spark.read.schema(ALARM_SCHEMA).format(fmt).load(path).where(F.col("periodo").cast("string") == period)
+        written = rows.select("assunto").distinct()
+        # a handful of subjects: partition folders, not rows
+        for r in stored.select("assunto").distinct().join(written, "assunto", "left_anti").collect():
+            drop_path(spark, f"{path}/assunto={r['assunto']}/periodo={period}")
 
 
 def read_alarms(spark: SparkSession, path: str, fmt: str = ORC) -> DataFrame:
     """Read an alarm table written by either sink, columns in table order."""
-    df = spark.read.format(fmt).load(path)
+    df = spark.read.schema(ALARM_SCHEMA).format(fmt).load(path)
     return df.select(*[F.col(f.name).cast(f.dataType) for f in ALARM_SCHEMA.fields])
