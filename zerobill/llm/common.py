@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +40,18 @@ def staged(spark: SparkSession, df: DataFrame, name: str, compression: str = "sn
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh_task() -> None:
+    """Called where a task begins in a reused Python worker: drops words that
+    an encoder kept there and hands freed memory back to the system."""
+    kept = sys.modules.get("zerobill_word_cache")
+    if kept is not None:
+        kept.__dict__.get("words", {}).clear()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text modulo ``modulus``; null ids give null."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zerobill.llm.common import table, typed
+from zerobill.llm.common import fresh_task, table, typed
 from zerobill.llm.text import bare_hashes, mix, slices, split_words, utf8
 
 K1, B = 1.2, 0.75
@@ -261,6 +261,7 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, kee
             shared = spark.sparkContext.broadcast(some)
 
             def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+                fresh_task()
                 for batch in batches:
                     bad = np.zeros(batch.num_rows, bool)
                     bad[[x[0] for x in find(batch, shared.value)]] = True

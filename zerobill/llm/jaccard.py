@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zerobill.llm.common import staged, table, typed
+from zerobill.llm.common import fresh_task, staged, table, typed
 from zerobill.llm.components import components
 from zerobill.llm.text import hash_words, mix, shingle_sets, slices, split_words, utf8
 
@@ -125,6 +125,7 @@ def _sets_and_keys(k: int, num: int, den: int, buckets: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         nodes: list[int] = []
         keys: list[np.ndarray] = []
         seen: set[int] = set()
@@ -158,6 +159,7 @@ def _sets_and_keys(k: int, num: int, den: int, buckets: int):
 
 def _star_edges(frame: pd.DataFrame) -> pd.DataFrame:
     """Edges from the smallest node of each key of a bucket to the others."""
+    fresh_task()
     key, node = [], []
     for names, packed in zip(frame["nodes"], frame["keys"]):
         raw = np.frombuffer(packed, np.uint8).reshape(-1, KEY_BYTES + 3)
@@ -232,6 +234,8 @@ def tile_links(node: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num:
 
 def _tile_edges(num: int, den: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        if len(frame) >= TILE:
+            fresh_task()
         frame = frame.drop_duplicates(["node", "side"])
         sets = [np.frombuffer(b, np.uint64) for b in frame["hashes"]]
         links = tile_links(frame["node"].to_numpy(np.int64), sets, frame["side"].to_numpy(np.int64), num, den)
@@ -242,6 +246,7 @@ def _tile_edges(num: int, den: int):
 
 def _set_bytes(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             for i, j in slices(offsets):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zerobill.llm.common import held_out, labelled_sample, table, typed
+from zerobill.llm.common import fresh_task, held_out, labelled_sample, table, typed
 from zerobill.llm.text import slices, utf8
 
 SAMPLE_ROWS, SAMPLE_BYTES = 2500, 1 << 15
@@ -203,6 +203,7 @@ def _scores(net: Network, batch: pa.RecordBatch) -> np.ndarray:
 
 def score_documents(docs: DataFrame, net: Network) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         for batch in batches:
             score = _scores(net, batch)
             cols = [batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))]
@@ -216,6 +217,7 @@ def keep_good(docs: DataFrame, net: Network, threshold: float = 0.5) -> DataFram
     """The rows of ``docs`` whose score reaches ``threshold``, columns unchanged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         for batch in batches:
             yield batch.filter(pa.array(_scores(net, batch) >= threshold))
 
