@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import sys
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zerobill.session import scratch_path
+from zerobill.session import drop_path, scratch_path
 
 FOLD_MODULUS = 4
 HELD_OUT_REMAINDER = 2
@@ -40,6 +41,16 @@ def staged(spark: SparkSession, df: DataFrame, name: str, compression: str = "sn
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, df: DataFrame | None = None) -> None:
+    """Drop a staged table that nothing reads any more, and let Spark's cleaner
+    find shuffle files of finished jobs without waiting for memory to fill."""
+    if df is not None:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            drop_path(spark, folder)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fresh_task() -> None:
     """Called where a task begins in a reused Python worker: drops words that
     an encoder kept there and hands freed memory back to the system."""

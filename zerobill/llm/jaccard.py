@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zerobill.llm.common import fresh_task, staged, table, typed
+from zerobill.llm.common import fresh_task, release, staged, table, typed
 from zerobill.llm.components import components
 from zerobill.llm.text import hash_words, mix, shingle_sets, slices, split_words, utf8
 
@@ -50,7 +50,7 @@ from zerobill.llm.text import hash_words, mix, shingle_sets, slices, split_words
 TILE = 256
 #: 64-bit words of a signature.
 SIGNATURE = 16
-KEY_BYTES = 6
+KEY_BYTES = 5
 
 
 def _differ(n: int, num: int, den: int) -> int:
@@ -306,9 +306,10 @@ def _grouped(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -
     # names a row by its content: an id may be null or repeated
     source = typed(docs, "doc_id", "text").withColumn("place", F.xxhash64("doc_id", "text"))
     rows = staged(spark, source.select("doc_id", "place", "text").mapInArrow(_sets_and_keys(k, num, den, buckets), _KINDS), "jaccard-sets")
-    sets = rows.where(F.col("bucket").isNull()).select("doc_id", "n", "node", "place")
+    sets = staged(spark, rows.where(F.col("bucket").isNull()).select("doc_id", "n", "node", "place"), "jaccard-rows")
     stars = rows.where(F.col("bucket").isNotNull()).select("bucket", "nodes", "keys").groupBy("bucket").applyInPandas(_star_edges, "a bigint, b bigint")
     clusters = staged(spark, components(spark, stars), "jaccard-clusters").select(F.col("node"), F.col("label").alias("cluster"))
+    release(spark, rows)  # the keys have done their work
 
     # One text of each node in a cluster.
     nodes = staged(
@@ -319,13 +320,17 @@ def _grouped(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -
     wanted = nodes.join(clusters, "node").select("node", "n", "cluster", F.col("low.place").alias("place"))
     texts = source.select("place", "text").join(wanted, "place").select("node", "cluster", "n", "text")
     members = staged(spark, texts.mapInArrow(_set_bytes(k), "node bigint, cluster bigint, n bigint, hashes binary"), "jaccard-members")
+    release(spark)
     links = _tiles(members, num, den).groupBy("cluster", "t1", "t2").applyInPandas(_tile_edges(num, den), "a bigint, b bigint")
     groups = components(spark, links).select("node", "label")
+    release(spark, members)
 
     ids = nodes.join(groups, "node", "left").select("node", "low", F.coalesce("label", "node").alias("label"))
     lowest = ids.groupBy("label").agg(F.min("low").alias("low"))
     named = ids.select("node", "label").join(lowest, "label").select("node", F.col("low.doc_id").alias("component_id"), F.col("low.place").alias("place"))
-    return sets, staged(spark, named, "jaccard-names")
+    named = staged(spark, named, "jaccard-names")
+    release(spark)
+    return sets, named
 
 
 def join_documents(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
