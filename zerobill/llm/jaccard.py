@@ -14,13 +14,18 @@ A document's set holds the 64-bit hashes of its distinct ``k``-word shingles
    lost, and texts that share a passage but little else have no common key.
 2. *Clusters.* Documents of a common key hang on its smallest; the connected
    components of that are clusters, outside which there is no link.
-3. *Tiles.* Only clusters are compared: their members are dealt to tiles by
-   size band and hash, and a tile meets itself and those of its own and the
-   next band. In a pair of tiles, hashed bitmap signatures bound every
-   overlap from above by bit counts; what passes is decided by intersecting
-   the sorted arrays. Pairs already connected are skipped, so a pair of tiles
-   returns a forest, never all pairs.
-4. *Components* of the links, labelled with the smallest doc_id.
+3. *Bounds.* Members of a cluster are dealt to tiles by size band and hash, and
+   a tile meets itself and those of its own and the next band. In a pair of
+   tiles, hashed bitmap signatures of two to four bits a hash bound every
+   overlap from above by bit counts. The components of the pairs that pass are
+   the clusters of the next step; only signatures are shuffled for it.
+4. *Intersections.* The clusters left are dealt to tiles in the same way, now
+   with their sets: what the bounds let through is decided by intersecting the
+   sorted arrays.
+5. *Components* of the links, labelled with the smallest doc_id.
+
+In both steps pairs already connected are skipped, so a pair of tiles returns
+a forest, never all pairs.
 
 Equal sets are one node throughout, named by a 64-bit digest; they are merged
 per batch before keys are dealt, so a group of copies of any size costs a row
@@ -46,10 +51,8 @@ from zerobill.llm.common import fresh_task, release, staged, table, typed
 from zerobill.llm.components import components
 from zerobill.llm.text import hash_words, mix, shingle_sets, slices, split_words, utf8
 
-#: Members of one side of a pair of tiles.
-TILE = 256
-#: 64-bit words of a signature.
-SIGNATURE = 16
+#: Members of one side of a pair of tiles of sets, and of signatures.
+TILE, SIGNATURE_TILE = 256, 1024
 KEY_BYTES = 5
 
 
@@ -93,7 +96,7 @@ def _set_keys(u: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-_KINDS = "doc_id bigint, n bigint, node bigint, place bigint, bucket int, nodes binary, keys binary"
+_KINDS = "doc_id bigint, n bigint, node bigint, place bigint, sig binary, bucket int, nodes binary, keys binary"
 
 
 def _sets_and_keys(k: int, num: int, den: int, buckets: int):
@@ -120,8 +123,8 @@ def _sets_and_keys(k: int, num: int, den: int, buckets: int):
         size = len(out["bucket"])
         none = pa.nulls(size, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, none, pa.array(out["bucket"], pa.int32()), pa.array(out["nodes"], pa.binary()), pa.array(out["keys"], pa.binary())],
-            ["doc_id", "n", "node", "place", "bucket", "nodes", "keys"],
+            [none, none, none, none, pa.nulls(size, pa.binary()), pa.array(out["bucket"], pa.int32()), pa.array(out["nodes"], pa.binary()), pa.array(out["keys"], pa.binary())],
+            ["doc_id", "n", "node", "place", "sig", "bucket", "nodes", "keys"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,10 +138,11 @@ def _sets_and_keys(k: int, num: int, den: int, buckets: int):
             for i, j in slices(offsets):
                 w = split_words(data, offsets[i : j + 1], lower=True)
                 n, node = np.zeros(j - i, np.int64), np.zeros(j - i, np.int64)
+                sig: list[bytes | None] = [None] * (j - i)
                 for at, u in enumerate(shingle_sets(hash_words(w), w.docs, k)):
                     if not len(u):
                         continue
-                    n[at], node[at] = len(u), (name := _node(u))
+                    n[at], node[at], sig[at] = len(u), (name := _node(u)), _signature(u)
                     if name not in seen:
                         seen.add(name)
                         nodes.append(name)
@@ -146,8 +150,8 @@ def _sets_and_keys(k: int, num: int, den: int, buckets: int):
                         held += len(keys[-1])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(i, j - i), pa.array(n), pa.array(node, mask=n == 0), batch.column("place").slice(i, j - i)]
-                    + [pa.nulls(j - i, pa.int32()), pa.nulls(j - i, pa.binary()), pa.nulls(j - i, pa.binary())],
-                    ["doc_id", "n", "node", "place", "bucket", "nodes", "keys"],
+                    + [pa.array(sig, pa.binary()), pa.nulls(j - i, pa.int32()), pa.nulls(j - i, pa.binary()), pa.nulls(j - i, pa.binary())],
+                    ["doc_id", "n", "node", "place", "sig", "bucket", "nodes", "keys"],
                 )
                 if held > 1_000_000 or len(nodes) >= 1 << 23:
                     yield from pack(nodes, keys)
@@ -181,26 +185,65 @@ def _star_edges(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": edges[:, 0], "b": edges[:, 1]})
 
 
-def _signatures(sets: list[np.ndarray]) -> np.ndarray:
-    out = np.zeros((len(sets), SIGNATURE * 64), bool)
-    for i, u in enumerate(sets):
-        out[i, (u >> np.uint64(20)) % np.uint64(SIGNATURE * 64)] = True
-    return np.packbits(out, axis=1).view(np.uint64)
+def _signature(u: np.ndarray) -> bytes:
+    """Bitmap of the hashes of a set, of a power of two of bits: at least 64, two to four a hash."""
+    bits = 64 << max(0, (2 * len(u) - 1).bit_length() - 6)
+    out = np.zeros(bits, bool)
+    out[(u >> np.uint64(20)) % np.uint64(bits)] = True
+    return np.packbits(out).tobytes()
+
+
+def _near(n: np.ndarray, sigs: list[bytes], side: np.ndarray, num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, partners after i) of each member, ``n`` ascending: pairs between
+    side 1 and side 2, and inside side 0, whose bound allows a link.
+
+    Of a and b, at least max(a's bits outside b's) hashes are not common: an
+    overlap is at most n minus that. Longer bitmaps are folded to the shorter.
+    """
+    width = np.array([len(s) for s in sigs], np.int64)
+    for w in np.unique(width).tolist():
+        low, high = np.searchsorted(width, w, "left"), np.searchsorted(width, w, "right")
+        top = int(np.searchsorted(n, n[high - 1] * den // num, "right"))
+        bitmap = np.stack([np.bitwise_or.reduce(np.frombuffer(s, np.uint64).reshape(-1, w // 8), axis=0) for s in sigs[low:top]])
+        bits = np.bitwise_count(bitmap).sum(axis=1, dtype=np.int64)
+        for i in range(low, high):
+            j = int(np.searchsorted(n, n[i] * den // num, "right"))  # n[i] <= n[j] <= n[i] * den / num
+            if j <= i + 1:
+                continue
+            at = slice(i + 1 - low, j - low)
+            both = np.bitwise_count(bitmap[i - low] & bitmap[at]).sum(axis=1, dtype=np.int64)
+            bound = np.minimum(n[i] - bits[i - low] + both, n[i + 1 : j] - bits[at] + both)
+            allowed = den * bound >= num * (n[i] + n[i + 1 : j] - bound)
+            allowed &= (side[i] == 0) | (side[i + 1 : j] != side[i])
+            yield i, np.flatnonzero(allowed) + i + 1
+
+
+def bounded_links(node: np.ndarray, n: np.ndarray, sigs: list[bytes], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """A forest of the pairs of members of a pair of tiles that the bounds let through."""
+    order = np.argsort(n, kind="stable")
+    n, node, side = n[order], node[order], side[order]
+    label = np.arange(len(n))
+    links = []
+    for i, near in _near(n, [sigs[x] for x in order], side, num, den):
+        near = near[label[near] != label[i]]
+        joined, first = np.unique(label[near], return_index=True)
+        for old, x in zip(joined.tolist(), near[first].tolist()):
+            label[label == old] = label[i]
+            links.append((int(node[i]), int(node[x])))
+    return links
 
 
 def tile_links(node: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
     """Links that connect the members of a pair of tiles: between side 1 and
     side 2, and inside side 0 where a tile meets itself.
 
-    Of a and b, at least max(a's bits outside b's) hashes are not common: an
-    overlap is at most n minus that. Every pair whose bound allows a link is
-    intersected exactly, unless earlier links already connect it.
+    Every pair whose bound allows a link is intersected exactly, unless earlier
+    links already connect it.
     """
     n = np.array([len(u) for u in sets], np.int64)
     order = np.argsort(n, kind="stable")
     n, node, side = n[order], node[order], side[order]
     sets = [sets[i] for i in order]
-    sig = _signatures(sets)
     parent = list(range(len(n)))
 
     def root(i: int) -> int:
@@ -210,16 +253,8 @@ def tile_links(node: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num:
         return i
 
     links = []
-    for i in range(len(n)):
-        j = int(np.searchsorted(n, n[i] * den // num, "right"))  # partners after i: n[i] <= n[j] <= n[i] * den / num
-        if j <= i + 1:
-            continue
-        outside = np.bitwise_count(sig[i] & ~sig[i + 1 : j]).sum(axis=1, dtype=np.int64)
-        other = np.bitwise_count(sig[i + 1 : j] & ~sig[i]).sum(axis=1, dtype=np.int64)
-        bound = np.minimum(n[i] - outside, n[i + 1 : j] - other)
-        allowed = den * bound >= num * (n[i] + n[i + 1 : j] - bound)
-        allowed &= (side[i] == 0) | (side[i + 1 : j] != side[i])
-        for x in (np.flatnonzero(allowed) + i + 1).tolist():
+    for i, near in _near(n, [_signature(u) for u in sets], side, num, den):
+        for x in near.tolist():
             a, b = root(i), root(x)
             if a == b:
                 continue
@@ -232,6 +267,17 @@ def tile_links(node: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num:
     return links
 
 
+def _bounded_edges(num: int, den: int):
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        if len(frame) >= SIGNATURE_TILE:
+            fresh_task()
+        frame = frame.drop_duplicates(["node", "side"])
+        links = bounded_links(frame["node"].to_numpy(np.int64), frame["n"].to_numpy(np.int64), frame["sig"].tolist(), frame["side"].to_numpy(np.int64), num, den)
+        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+
+    return run
+
+
 def _tile_edges(num: int, den: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         if len(frame) >= TILE:
@@ -252,13 +298,16 @@ def _set_bytes(k: int):
             for i, j in slices(offsets):
                 w = split_words(data, offsets[i : j + 1], lower=True)
                 packed = [u.tobytes() for u in shingle_sets(hash_words(w), w.docs, k)]
-                yield pa.RecordBatch.from_arrays([batch.column(c).slice(i, j - i) for c in ("node", "cluster", "n")] + [pa.array(packed, pa.binary())], ["node", "cluster", "n", "hashes"])
+                yield pa.RecordBatch.from_arrays([batch.column(c).slice(i, j - i) for c in ("node", "cluster", "pairs")] + [pa.array(packed, pa.binary())], ["node", "cluster", "pairs", "hashes"])
 
     return run
 
 
-def _tiles(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Members with the pairs of tiles they meet in: (cluster, t1, t2, side, node, hashes).
+_PAIRS = "array<struct<t1:string,t2:string,side:int>>"
+
+
+def _dealt(members: DataFrame, num: int, den: int, tile: int) -> DataFrame:
+    """Members (node, n, cluster, place) with ``pairs``: the pairs of tiles they meet in.
 
     A size band is one factor den / num wide, so links lie within a band or
     between neighbours. A cluster of one tile is compared whole.
@@ -266,8 +315,8 @@ def _tiles(members: DataFrame, num: int, den: int) -> DataFrame:
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(den / num)))).cast("int")
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("all"))
     per_band = members.withColumn("band", band).groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("in_band"))
-    stats = per_band.join(sizes, "cluster").where(F.col("all") > TILE)
-    tiles_of = F.ceil(F.col("in_band") / TILE).cast("int")
+    stats = per_band.join(sizes, "cluster").where(F.col("all") > tile)
+    tiles_of = F.ceil(F.col("in_band") / tile).cast("int")
     plan = stats.groupBy("cluster").agg(F.map_from_entries(F.collect_list(F.struct("band", tiles_of))).alias("tiles"))
     m = members.withColumn("band", band).join(plan, "cluster", "left")
     own = F.coalesce(F.element_at("tiles", F.col("band")), F.lit(1))
@@ -294,11 +343,16 @@ def _tiles(members: DataFrame, num: int, den: int) -> DataFrame:
     whole = F.array(pair(F.lit(""), F.lit(""), F.lit(0)))
     return (
         m.withColumn("at", at)
-        .withColumn("p", F.explode(F.when(F.col("tiles").isNull(), whole).otherwise(F.concat(within, up, down))))
-        .select("cluster", "p.t1", "p.t2", "p.side", "node", "hashes")
+        .withColumn("pairs", F.when(F.col("tiles").isNull(), whole).otherwise(F.concat(within, up, down)).cast(_PAIRS))
+        .select("node", "n", "cluster", "place", "pairs")
     )
 
 
+def _meetings(members: DataFrame, *payload: str) -> DataFrame:
+    """A row for each member and pair of tiles: (cluster, t1, t2, side, node) and the payload."""
+    return members.withColumn("p", F.explode("pairs")).select("cluster", "p.t1", "p.t2", "p.side", "node", *payload)
+
+
 def _grouped(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, n, node, place), node null for the empty set, and of each
     node the component's smallest id and the place of the row that bears it."""
@@ -309,21 +363,26 @@ def _grouped(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -
     sets = staged(spark, rows.where(F.col("bucket").isNull()).select("doc_id", "n", "node", "place"), "jaccard-rows")
     stars = rows.where(F.col("bucket").isNotNull()).select("bucket", "nodes", "keys").groupBy("bucket").applyInPandas(_star_edges, "a bigint, b bigint")
     clusters = staged(spark, components(spark, stars), "jaccard-clusters").select(F.col("node"), F.col("label").alias("cluster"))
-    release(spark, rows)  # the keys have done their work
 
-    # One text of each node in a cluster.
+    # One row of each node in a cluster stands for it.
     nodes = staged(
         spark,
         sets.where(F.col("node").isNotNull()).groupBy("node", "n").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "place")).alias("low")),
         "jaccard-nodes",
     )
-    wanted = nodes.join(clusters, "node").select("node", "n", "cluster", F.col("low.place").alias("place"))
-    texts = source.select("place", "text").join(wanted, "place").select("node", "cluster", "n", "text")
-    members = staged(spark, texts.mapInArrow(_set_bytes(k), "node bigint, cluster bigint, n bigint, hashes binary"), "jaccard-members")
-    release(spark)
-    links = _tiles(members, num, den).groupBy("cluster", "t1", "t2").applyInPandas(_tile_edges(num, den), "a bigint, b bigint")
+    at = nodes.select("node", "n", F.col("low.place").alias("place"))
+    wanted = staged(spark, at.join(clusters, "node"), "jaccard-wanted")
+    signed = rows.where(F.col("bucket").isNull()).select("place", "sig").join(_dealt(wanted, num, den, SIGNATURE_TILE), "place")
+    near = _meetings(signed, "n", "sig").groupBy("cluster", "t1", "t2").applyInPandas(_bounded_edges(num, den), "a bigint, b bigint")
+    closer = staged(spark, components(spark, near), "jaccard-closer").select(F.col("node"), F.col("label").alias("cluster"))
+    release(spark, rows)  # keys and signatures have done their work
+
+    wanted = staged(spark, at.join(closer, "node"), "jaccard-wanted")
+    texts = source.select("place", "text").join(_dealt(wanted, num, den, TILE), "place").select("node", "cluster", "pairs", "text")
+    members = texts.mapInArrow(_set_bytes(k), f"node bigint, cluster bigint, pairs {_PAIRS}, hashes binary")
+    links = _meetings(members, "hashes").groupBy("cluster", "t1", "t2").applyInPandas(_tile_edges(num, den), "a bigint, b bigint")
     groups = components(spark, links).select("node", "label")
-    release(spark, members)
+    release(spark)
 
     ids = nodes.join(groups, "node", "left").select("node", "low", F.coalesce("label", "node").alias("label"))
     lowest = ids.groupBy("label").agg(F.min("low").alias("low"))
