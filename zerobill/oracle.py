@@ -70,61 +70,54 @@ def _shown_state(col: str) -> str:
     return f"coalesce(nullif({col}, 'NULL'), 'SEM UF')"
 
 
-_RULE_COLS = ("code", "kind", "system_name", "stage", "inf", "sup", "num_inf", "num_sup",
-              "composite", "point")
-_RULE_SELECT = ", ".join(
-    f"r.{src} AS {dst}" for src, dst in zip(
-        ("cod", "tipo", "sistema", "etapa", "fator_perc_inf", "fator_perc_sup", "fator_num_inf",
-         "fator_num_sup", "fator_perc_composto", "ponto"), _RULE_COLS)
+_RULE_COLUMNS = (
+    "cod, tipo, sistema, etapa, fator_perc_inf, fator_perc_sup, fator_num_inf, "
+    "fator_num_sup, fator_perc_composto, ponto"
 )
-_RULE_GROUP = ", ".join(
-    "r." + c for c in ("cod", "tipo", "sistema", "etapa", "fator_perc_inf", "fator_perc_sup",
-                       "fator_num_inf", "fator_num_sup", "fator_perc_composto", "ponto")
-)
-_MONTH_COUNTS = ",\n           ".join(
-    f"count({m})::BIGINT AS n{k}" for k, m in enumerate(["cur"] + [f"m{k}" for k in range(1, 7)])
+_MONTH_COUNTS = "count(mes_atual)::BIGINT AS valor,\n           " + ",\n           ".join(
+    f"count(mes_{k})::BIGINT AS valor_mes_ant_{k}" for k in range(1, 7)
 )
 
 
 def _alarm_select(source: str, item: str, with_ts: bool) -> str:
-    n = [f"n{k}" for k in range(7)]
-    ratio = [f"(n{k}::DOUBLE / NULLIF(n{k + 1}, 0) - 1)" for k in range(6)]
+    n = ["valor"] + [f"valor_mes_ant_{k}" for k in range(1, 7)]
+    ratio = [f"({n[k]}::DOUBLE / NULLIF({n[k + 1]}, 0) - 1)" for k in range(6)]
     mean_var = "abs(" + " + ".join(
         [f"coalesce({ratio[0]}, 0)"] + [f"abs(coalesce({x}, 0))" for x in ratio[1:]]) + ") / 6"
     var_cols = ",\n           ".join(
-        f"{_round2(ratio[k - 1])} AS var_mes_ant_{k}, n{k} AS valor_mes_ant_{k}"
+        f"{_round2(ratio[k - 1])} AS var_mes_ant_{k}, valor_mes_ant_{k}"
         for k in range(1, 7)
     )
     ts = f"{RUN_TS} AS data_alarme,\n           " if with_ts else ""
     zi = "0::INTEGER"
     return f"""
-    SELECT segment AS segmento,
+    SELECT tipo_cliente AS segmento,
            'SEM INFO' AS tipo_cliente,
            {item} AS item_alarme,
            {item} AS produto,
            'SEM CLASSIFICACAO' AS tipo_fat,
            {_month(1)} AS periodo,
-           n0 AS valor,
+           valor,
            0.0::DOUBLE AS media_valor,
            {zi} AS media_quant,
            {zi} AS dif_media_valor_x_quant,
            {var_cols},
            {_round2(mean_var)} AS med_var_mes,
-           code AS cod, kind AS tipo,
+           cod, tipo,
            'Fatura Zerada - Patamar' AS assunto,
            'n' AS redutor,
-           system_name AS sistema, stage AS etapa,
+           sistema, etapa,
            {_round2("avg6")} AS media_meses,
            {_round2("low")} AS limite_inferior,
            {_round2("high")} AS limite_superior,
            {zi} AS imp_x_fat_atual,
            {zi} AS imp_x_fat_media,
-           inf AS fator_perc_inf, sup AS fator_perc_sup, num_inf AS fator_num_inf,
-           num_sup AS fator_num_sup, composite AS fator_perc_composto,
-           CASE WHEN n0 < low OR n0 > high THEN 's' ELSE 'n' END AS flag_alarme,
-           CASE WHEN (n0 < low) IS NOT TRUE AND n0 > high THEN 'Ultrapassou Limite Superior'
+           fator_perc_inf, fator_perc_sup, fator_num_inf,
+           fator_num_sup, fator_perc_composto,
+           CASE WHEN valor < low OR valor > high THEN 's' ELSE 'n' END AS flag_alarme,
+           CASE WHEN (valor < low) IS NOT TRUE AND valor > high THEN 'Ultrapassou Limite Superior'
                 ELSE 'Normal' END AS alarme,
-           point AS ponto,
+           ponto,
            'Quantidade Fatura' AS referencia_valor,
            'Faturamento - Outros' AS rel_ind_produto,
            'SEM CLASS' AS tecnologia,
@@ -133,7 +126,7 @@ def _alarm_select(source: str, item: str, with_ts: bool) -> str:
            {zi} AS fator_perc_inf_quant, {zi} AS fator_perc_sup_quant,
            {zi} AS arpu, {zi} AS arpu_mes_ant,
            'MENSAL' AS periodicidade
-    FROM (SELECT *, avg6 - avg6 * inf AS low, avg6 + avg6 * sup AS high
+    FROM (SELECT *, avg6 - avg6 * fator_perc_inf AS low, avg6 + avg6 * fator_perc_sup AS high
           FROM (SELECT *, ({" + ".join(n[1:])})::DOUBLE / 6 AS avg6 FROM {source}))"""
 
 
@@ -193,7 +186,6 @@ def _stage_ctes() -> str:
             (("16",), "USO PROPRIO"),
         ) for code in codes
     )
-    counter_cols = "mes_atual AS cur, " + ", ".join(f"mes_{k} AS m{k}" for k in range(1, 7))
     return f"""
 segment_codes AS (
     SELECT * FROM (VALUES {segments}) AS v(code, segment_name)
@@ -243,20 +235,20 @@ scoped_rules AS (
     SELECT * FROM src_rules WHERE cod BETWEEN 'PAT0501401' AND 'PAT0501700'
 ),
 state_groups AS (
-    SELECT k.tipo_cliente AS segment, k.cust_state, {_RULE_SELECT},
+    SELECT k.tipo_cliente, k.cust_state, {_RULE_COLUMNS},
            {_MONTH_COUNTS}
-    FROM (SELECT tipo_cliente, cust_state, {counter_cols} FROM counter) k
+    FROM counter k
     LEFT JOIN (SELECT * FROM scoped_rules WHERE campo = 'ESTADO') r
       ON r.tipo_cliente = k.tipo_cliente AND r.chave = {_shown_state("k.cust_state")}
-    GROUP BY k.tipo_cliente, k.cust_state, {_RULE_GROUP}
+    GROUP BY k.tipo_cliente, k.cust_state, {_RULE_COLUMNS}
 ),
 period_groups AS (
-    SELECT k.tipo_cliente AS segment, {_RULE_SELECT},
+    SELECT k.tipo_cliente, {_RULE_COLUMNS},
            {_MONTH_COUNTS}
-    FROM (SELECT tipo_cliente, {counter_cols} FROM counter) k
+    FROM counter k
     LEFT JOIN (SELECT * FROM scoped_rules WHERE campo = 'PERIODO') r
       ON r.tipo_cliente = k.tipo_cliente
-    GROUP BY k.tipo_cliente, {_RULE_GROUP}
+    GROUP BY k.tipo_cliente, {_RULE_COLUMNS}
 ),
 state_alarms AS ({_alarm_select("state_groups", _shown_state("cust_state"), False)}
 ),
@@ -282,12 +274,7 @@ def _latest(system: int, billed: bool) -> str:
     WHERE a.dt_foto = (SELECT max(dt_foto) FROM src_tax_{system}){semi}"""
 
 
-_COUNTS_OUT = (
-    "code AS cod, kind AS tipo, system_name AS sistema, stage AS etapa, inf AS fator_perc_inf, "
-    "sup AS fator_perc_sup, num_inf AS fator_num_inf, num_sup AS fator_num_sup, "
-    "composite AS fator_perc_composto, point AS ponto, n0 AS valor, "
-    + ", ".join(f"n{k} AS valor_mes_ant_{k}" for k in range(1, 7))
-)
+_COUNTS_OUT = _RULE_COLUMNS + ", valor, " + ", ".join(f"valor_mes_ant_{k}" for k in range(1, 7))
 
 _ALARM_KEY = "segmento, item_alarme, cod"
 
@@ -306,8 +293,8 @@ _FINAL = {
            count(DISTINCT bill_ref_no)::BIGINT AS n_invoices
     FROM zero_inv GROUP BY ALL""",
     "q10_zero_counter": "SELECT * FROM counter",
-    "q12_state_counts": f"SELECT segment AS tipo_cliente, cust_state, {_COUNTS_OUT} FROM state_groups",
-    "q13_period_counts": f"SELECT segment AS tipo_cliente, {_COUNTS_OUT} FROM period_groups",
+    "q12_state_counts": f"SELECT tipo_cliente, cust_state, {_COUNTS_OUT} FROM state_groups",
+    "q13_period_counts": f"SELECT tipo_cliente, {_COUNTS_OUT} FROM period_groups",
     "q14_state_alarms": "SELECT * FROM state_alarms",
     "q15_period_alarms": "SELECT * FROM period_alarms",
     "q16_all_alarms": "SELECT * FROM all_alarms",
