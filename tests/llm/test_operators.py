@@ -220,6 +220,19 @@ def test_nearest_examples_are_exact():
     np.testing.assert_allclose(np.maximum(sim, 0), np.maximum(want, 0), atol=1e-5)
 
 
+def test_toxicity_uses_every_word_of_the_examples(spark):
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    texts = [("zork", 1)] * 3 + [(f"bad b{i}", 1) for i in range(40)] + [(f"fine {' '.join(f'f{i}x{j}' for j in range(9))}", 0) for i in range(160)]
+    data = [(d, t, y) for d, (t, y) in zip(ids, texts)]
+    docs = spark.createDataFrame([(d, t) for d, t, _ in data] + [(-1, "zork"), (-2, "f7x3"), (-3, "nowhere")], "doc_id bigint, text string")
+    model = toxicity.fit(spark, docs, spark.createDataFrame([(d, y) for d, _, y in data], "doc_id bigint, toxic int"))
+    assert len(model.terms) == len({w for _, t, _ in data for w in t.split()}) > 512
+    got = {r["doc_id"]: r for r in rows(toxicity.score_documents(spark, docs, model))}
+    assert got[-1]["nearest_id"] in ids[:3] and got[-1]["predicted"] == 1
+    assert got[-2]["nearest_id"] == data[3 + 40 + 7][0] and got[-2]["predicted"] == 0
+    assert got[-3]["nearest_id"] is None
+
+
 def test_language_model(spark, edge_docs, no_docs, monkeypatch):
     monkeypatch.setattr(maxent, "HEAD", 500)  # so that some words take the shuffled way
     for docs in (edge_docs, documents(spark)):

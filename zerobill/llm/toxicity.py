@@ -1,17 +1,20 @@
 """Operator 4: toxicity by the nearest labelled examples under TF-IDF cosine.
 
-A bounded sample of labelled rows gives the examples. Words of the vector
-space are those whose presence goes with the label beyond chance in the sample
-(log-likelihood ratio); their document frequencies are of all documents.
-Examples are kept in an inverted index of blocks with the largest weight of
-each word in a block. A document opens blocks from the highest bound down and
-stops when no bound exceeds its K-th best similarity, so the K nearest are
-exact. Votes are weighted by similarity and calibrated by isotonic regression
-on the examples' own leave-one-out votes.
+A bounded sample of labelled rows gives the examples. The vector space has
+every word of the examples; document frequencies are of all documents. A
+word's weight is damped, never to zero, by how far its presence goes with the
+label in the sample (log-likelihood ratio), so that the many words without
+bearing on the label do not drown those with. Examples are kept in posting
+lists with the largest weight of each word in each block of examples; words
+that many examples hold have a list with a place for every example, multiplied
+as a matrix. The K-th best sum of these words alone is the least that the K-th
+best similarity can be; a document opens every block whose bound reaches it, so
+the K nearest are exact. Votes are weighted by similarity and calibrated by
+isotonic regression on the examples' own leave-one-out votes.
 
 Words are lower-cased (A-Z) and have ASCII marks at either end taken off.
 
-Defined cases: null or empty texts, and texts without a word of the space,
+Defined cases: null or empty texts, and texts without a word of the examples,
 have no neighbour and get the share of label 1 among such examples (smoothed);
 null ids are scored and never learnt from; repeated rows get equal scores;
 equal similarities at the K-th place go to the example met first in block
@@ -22,6 +25,7 @@ order; without labels of both classes every score is the share of label 1, or
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +38,13 @@ from zerobill.llm.text import bare_hashes, slices, split_words, utf8
 SAMPLE_ROWS, SAMPLE_BYTES = 8000, 1 << 16
 THRESHOLD = 0.3
 NEIGHBOURS = 15
-MAX_TERMS = 512
-#: Log-likelihood ratio a word needs (chi-square of one degree, p about 1e-6).
-LEAST_RATIO = 24.0
+#: Log-likelihood ratio at which a word has about half of its full weight (chi-square of one degree, p about 1e-6).
+HALF_RATIO = 24.0
 BLOCK = 64
+#: Words held by one in so many examples have a list with a place for every example.
+COMMON = 48
+#: Queries scored together.
+QUERIES = 128
 
 
 def _doc_terms(data: np.ndarray, offsets: np.ndarray, terms: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -57,19 +64,51 @@ def _doc_terms(data: np.ndarray, offsets: np.ndarray, terms: np.ndarray | None)
     return key // size, (words[key % size] if terms is None else key % size), count
 
 
-def _vectors(doc: np.ndarray, term: np.ndarray, count: np.ndarray, n_docs: int, idf: np.ndarray) -> np.ndarray:
-    out = np.zeros((n_docs, len(idf)), np.float32)
-    out[doc, term] = (1 + np.log(count)) * idf[term]
-    norm = np.sqrt((out**2).sum(axis=1, keepdims=True))
-    return out / np.where(norm > 0, norm, 1)
+class Vectors(NamedTuple):
+    """Rows of length one (or empty), by their words' positions."""
 
+    ends: np.ndarray  # of the rows, one more than rows
+    term: np.ndarray
+    weight: np.ndarray
+    width: int
 
-def chosen_terms(doc: np.ndarray, word: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Words whose presence depends on the label beyond chance, most telling first, then sorted."""
-    words, at = np.unique(word, return_inverse=True)
+    @property
+    def row(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.ends) - 1), np.diff(self.ends))
+
+    def take(self, rows: np.ndarray) -> Vectors:
+        size = np.diff(self.ends)[rows]
+        at = _ranges(self.ends[rows], size)
+        return Vectors(np.concatenate(([0], np.cumsum(size))), self.term[at], self.weight[at], self.width)
+
+    def dense(self) -> np.ndarray:
+        out = np.zeros((len(self.ends) - 1, self.width), np.float32)
+        out[self.row, self.term] = self.weight
+        return out
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> Vectors:
+        row, term = np.nonzero(x)
+        return cls(np.searchsorted(row, np.arange(len(x) + 1)), term, x[row, term].astype(np.float32), x.shape[1])
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, one range behind the other."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - starts, sizes)
+
+
+def _vectors(doc: np.ndarray, term: np.ndarray, count: np.ndarray, n_docs: int, weights: np.ndarray) -> Vectors:
+    """``doc`` ascends."""
+    w = (1 + np.log(count)) * weights[term]
+    norm = np.sqrt(np.bincount(doc, w**2, minlength=n_docs))
+    return Vectors(np.searchsorted(doc, np.arange(n_docs + 1)), term, (w / norm[doc]).astype(np.float32), len(weights))
+
+
+def label_weights(doc: np.ndarray, at: np.ndarray, y: np.ndarray, n_words: int) -> np.ndarray:
+    """A factor above 0 and below 1 for every word, by how far its presence depends on the label."""
     n1, n = y.sum(), len(y)
-    with1 = np.bincount(at, y[doc], minlength=len(words))
-    has = np.bincount(at, minlength=len(words)).astype(np.float64)
+    with1 = np.bincount(at, y[doc], minlength=n_words)
+    has = np.bincount(at, minlength=n_words).astype(np.float64)
 
     def part(x: np.ndarray, expected: np.ndarray) -> np.ndarray:
         return np.where(x > 0, x * np.log(np.maximum(x, 1e-12) / np.maximum(expected, 1e-12)), 0.0)
@@ -77,53 +116,104 @@ def chosen_terms(doc: np.ndarray, word: np.ndarray, y: np.ndarray) -> np.ndarray
     ratio = 2 * (
         part(with1, has * n1 / n) + part(has - with1, has * (n - n1) / n) + part(n1 - with1, (n - has) * n1 / n) + part(n - n1 - has + with1, (n - has) * (n - n1) / n)
     )
-    best = np.argsort(-ratio, kind="stable")[:MAX_TERMS]
-    return np.sort(words[best[ratio[best] >= LEAST_RATIO]])
+    ratio = np.maximum(ratio, 0) + 1
+    return ratio / (ratio + HALF_RATIO)
 
 
 class BlockMaxIndex:
-    """Example vectors in blocks of like examples, and each block's largest weights."""
+    """Posting lists over examples in blocks of like ones, and each word's largest weight in a block."""
 
-    def __init__(self, vectors: np.ndarray, y: np.ndarray, ids: np.ndarray):
-        some = np.flatnonzero((vectors > 0).any(axis=1))
+    def __init__(self, vectors: Vectors | np.ndarray, y: np.ndarray, ids: np.ndarray):
+        v = Vectors.of(vectors) if isinstance(vectors, np.ndarray) else vectors
+        some = np.flatnonzero(np.diff(v.ends) > 0)
         # like examples together: by label, then by their heaviest words
-        top = np.argsort(-vectors[some], axis=1, kind="stable")[:, :2] if len(some) else np.zeros((0, 2), int)
-        second = top[:, 1] if top.shape[1] > 1 else np.zeros(len(some), int)
-        some = some[np.lexsort((second, top[:, 0], y[some]))] if len(some) else some
-        self.vectors, self.y, self.ids, self.rows = vectors[some], y[some], ids[some], some
-        self.starts = np.arange(0, len(some), BLOCK)
-        self.maxima = np.maximum.reduceat(self.vectors, self.starts, axis=0) if len(some) else np.zeros((0, vectors.shape[1]), np.float32)
-
-    def nearest(self, queries: np.ndarray, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((-v.weight, v.row))
+        first, second = (v.term[order[np.minimum(v.ends[some] + k, v.ends[some + 1] - 1)]] for k in (0, 1))
+        some = some[np.lexsort((second, first, y[some]))]
+        self.examples, self.y, self.ids, self.rows = v.take(some), y[some], ids[some], some
+        order = np.argsort(self.examples.term, kind="stable")  # by word, then by example
+        self._lists(np.bincount(self.examples.term, minlength=v.width), self.examples.row[order], self.examples.weight[order])
+
+    def _lists(self, size: np.ndarray, example: np.ndarray, weight: np.ndarray) -> None:
+        """``size``: postings of each word; ``example``, ``weight``: the postings, word by word."""
+        n, width = len(self.y), len(size)
+        self.size, self.postings = size.astype(np.int32), (example.astype(np.min_scalar_type(max(1, n))), weight)
+        self.blocks = -(-n // BLOCK)
+        term = np.repeat(np.arange(width), size)
+        common = np.flatnonzero(size * COMMON >= max(1, n))
+        self.common = np.full(width, -1, np.int32)
+        self.common[common] = np.arange(len(common))
+        full = self.common[term] >= 0
+        self.full = np.zeros((len(common), n), np.float32)
+        self.full[self.common[term[full]], example[full]] = weight[full]
+        term, self.example, self.weight = term[~full], example[~full].astype(np.int32), weight[~full]
+        # one entry for each word and block: where its postings start, and the largest of them
+        block = self.example // BLOCK
+        starts = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])))) if len(term) else np.zeros(0, np.int64)
+        self.starts = np.append(starts, len(term)).astype(np.int32)
+        self.block_of = block[starts]
+        self.maxima = np.maximum.reduceat(self.weight, starts) if len(term) else self.weight
+        self.first = np.searchsorted(term[starts], np.arange(width + 1)).astype(np.int32)
+
+    def __getstate__(self) -> tuple:
+        """What is shared with the tasks: the postings alone, from which they build the rest."""
+        return self.y, self.ids, self.size, *self.postings
+
+    def __setstate__(self, state: tuple) -> None:
+        self.y, self.ids, *lists = state
+        self._lists(*lists)
+
+    @property
+    def vectors(self) -> np.ndarray:
+        return self.examples.dense()
+
+    def nearest(self, queries: Vectors | np.ndarray, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(similarities, positions) of the ``k`` nearest examples, best first; -1 where there are fewer.
 
         ``skip`` names for each query an example position to leave out.
         """
-        n, blocks = len(queries), len(self.starts)
+        q = Vectors.of(queries) if isinstance(queries, np.ndarray) else queries
+        n = len(q.ends) - 1
         best, which = np.full((n, k), -1.0, np.float32), np.full((n, k), -1, np.int64)
-        if not blocks or not n:
-            return best, which
-        bound = queries @ self.maxima.T
-        order = np.argsort(-bound, axis=1, kind="stable")
-        active = np.flatnonzero((queries > 0).any(axis=1))
-        for turn in range(blocks):
-            block = order[active, turn]
-            go = bound[active, block] > np.maximum(best[active, -1], 0) - 1e-6
-            active, block = active[go], block[go]
-            if not len(active):
-                break
-            for b in np.unique(block):
-                rows = active[block == b]
-                at = np.arange(self.starts[b], min(self.starts[b] + BLOCK, len(self.y)))
-                s = queries[rows] @ self.vectors[at].T
-                s[s <= 0] = -1
-                if skip is not None:
-                    s[at[None, :] == skip[rows, None]] = -1
-                all_s = np.concatenate((best[rows], s), axis=1)
-                all_w = np.concatenate((which[rows], np.broadcast_to(at, s.shape)), axis=1)
-                top = np.argsort(-all_s, axis=1, kind="stable")[:, :k]
-                best[rows] = np.take_along_axis(all_s, top, axis=1)
-                which[rows] = np.where(best[rows] >= 0, np.take_along_axis(all_w, top, axis=1), -1)
+        if self.blocks:
+            for i in range(0, n, QUERIES):
+                rows = np.arange(i, min(n, i + QUERIES))
+                best[rows], which[rows] = self._nearest(q.take(rows), k, None if skip is None else skip[rows])
+        return best, which
+
+    def _nearest(self, q: Vectors, k: int, skip: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        m, n, row = len(q.ends) - 1, len(self.y), q.row
+        common = self.common[q.term]
+        full = common >= 0
+        dense = np.zeros((m, len(self.full)), np.float32)
+        dense[row[full], common[full]] = q.weight[full]
+        term, row, weight = q.term[~full], row[~full], q.weight[~full].astype(np.float64)
+        size = self.first[term + 1] - self.first[term]
+        entry = _ranges(self.first[term], size)
+        row, weight, block = np.repeat(row, size), np.repeat(weight, size), self.block_of[entry]
+        sim = dense @ self.full  # of the common words; the others are added where a block is opened
+        if skip is not None:
+            out = np.flatnonzero(skip >= 0)
+            sim[out, skip[out]] = -1
+        at = max(0, n - k)
+        least = np.partition(sim, at, axis=1)[:, at] if n >= k else np.zeros(m, np.float32)
+        rest = np.bincount(row * self.blocks + block, weight * self.maxima[entry], minlength=m * self.blocks).reshape(m, -1)
+        opened = np.maximum.reduceat(sim, np.arange(0, n, BLOCK), axis=1) + rest > np.maximum(least, 0)[:, None] - 1e-6
+        on = np.flatnonzero(opened[row, block])
+        first = self.starts[entry[on]]
+        size = self.starts[entry[on] + 1] - first
+        post = _ranges(first, size)
+        sim += np.bincount(np.repeat(row[on] * n, size) + self.example[post], np.repeat(weight[on], size) * self.weight[post], minlength=m * n).reshape(m, n)
+        if skip is not None:
+            sim[out, skip[out]] = -1
+        least = np.partition(sim, at, axis=1)[:, at]
+        row, example = np.nonzero((sim >= least[:, None]) & (sim > 0))
+        order = np.lexsort((example, -sim[row, example], row))
+        row, example = row[order], example[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        row, example, place = (x[place < k] for x in (row, example, place))
+        best, which = np.full((m, k), -1.0, np.float32), np.full((m, k), -1, np.int64)
+        best[row, place], which[row, place] = sim[row, example], example
         return best, which
 
 
@@ -141,20 +231,20 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class NearestExamples:
-    """Everything a task needs: terms, idf, index, calibration."""
+    """Everything a task needs: terms, their weights, index, calibration."""
 
-    def __init__(self, terms: np.ndarray, idf: np.ndarray, vectors: np.ndarray, y: np.ndarray, ids: np.ndarray):
-        self.terms, self.idf = terms, idf
+    def __init__(self, terms: np.ndarray, weights: np.ndarray, vectors: Vectors, y: np.ndarray, ids: np.ndarray):
+        self.terms, self.weights = terms, weights
         self.prior = float(y.mean()) if len(y) else 0.0
         self.index = BlockMaxIndex(vectors, y, ids)
         empty = np.ones(len(y), bool)
         empty[self.index.rows] = False
         self.silent = (y[empty].sum() + self.prior) / (empty.sum() + 1)
         own = np.arange(len(self.index.y))
-        raw, _, _ = self.votes(self.index.vectors, own)
+        raw, _, _ = self.votes(self.index.examples, own)
         self.knots = isotonic(raw, self.index.y) if len(own) else None
 
-    def votes(self, queries: np.ndarray, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def votes(self, queries: Vectors, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sim, at = self.index.nearest(queries, NEIGHBOURS, skip)
         weight = np.where(at >= 0, np.maximum(sim, 0) ** 2, 0)
         y = self.index.y[np.maximum(at, 0)] if len(self.index.y) else np.zeros(at.shape)
@@ -167,7 +257,7 @@ class NearestExamples:
         score, sim, near = np.full(n, self.silent), np.full(n, np.nan), np.full(n, -1, np.int64)
         rows = np.unique(doc)
         if len(rows) and self.knots is not None:
-            q = _vectors(np.searchsorted(rows, doc), term, count, len(rows), self.idf)
+            q = _vectors(np.searchsorted(rows, doc), term, count, len(rows), self.weights)
             raw, s, at = self.votes(q)
             score[rows] = np.interp(raw, *self.knots)
             sim[rows] = np.where(at[:, 0] >= 0, s[:, 0], np.nan)
@@ -185,15 +275,14 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = SAM
         doc, word, count = _doc_terms(data, offsets[i : j + 1], None)
         parts.append((doc + i, word, count))
     doc, word, count = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    if len(y) and y.min() < y.max():
-        terms = chosen_terms(doc, word, y)
-    else:
-        terms = np.zeros(0, np.uint64)
+    if not (len(y) and y.min() < y.max()):
+        doc, word, count = doc[:0], word[:0], count[:0]
+    terms, at = np.unique(word, return_inverse=True)
     total, df = document_frequencies(docs, terms)
-    idf = np.log((1 + total) / (1 + df)) + 1
-    at = np.minimum(np.searchsorted(terms, word), max(0, len(terms) - 1))
-    known = terms[at] == word if len(terms) else np.zeros(len(word), bool)
-    return NearestExamples(terms, idf, _vectors(doc[known], at[known], count[known], len(y), idf), y, ids)
+    weights = np.log((1 + total) / (1 + df)) + 1
+    if len(terms):
+        weights *= label_weights(doc, at, y, len(terms))
+    return NearestExamples(terms, weights, _vectors(doc, at, count, len(y), weights), y, ids)
 
 
 def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.ndarray]:
@@ -207,18 +296,18 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.nd
             for i, j in slices(offsets):
                 found += np.bincount(_doc_terms(data, offsets[i : j + 1], terms)[1], minlength=len(terms) + 1)
         found[-1] = total
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(found)), pa.int64()), pa.array(found)], ["term", "n"])
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(found[some])], ["term", "n"])
 
-    counted = typed(docs, "text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    counted = typed(docs, "text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(len(terms) + 1, np.int64)
-    for r in counted:
-        out[r["term"]] = r["n"]
+    out[counted.column("term").to_numpy()] = counted.column("n").to_numpy()
     return int(out[-1]), out[:-1]
 
 
 def score_documents(spark: SparkSession, docs: DataFrame, model: NearestExamples) -> DataFrame:
     """doc_id, held_out, score, predicted, and the nearest example as evidence."""
-    shared = spark.sparkContext.broadcast(model)  # SAMPLE_ROWS x MAX_TERMS floats at most
+    shared = spark.sparkContext.broadcast(model)  # the words of at most SAMPLE_ROWS examples of SAMPLE_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
