@@ -295,5 +295,22 @@ def test_html_extract(spark):
     assert html_extract.blocks("<p>a &amp; <b>b</b>c\n d<br>e")[0][1] == "a & bc d"
 
 
+def test_html_extract_of_deep_pages(spark):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    model = html_extract.fit(pages)
+    deep = []
+    for r in pages.where("html like '%<article>%'").collect():
+        for n in (13, 25):
+            ends = ("<div class='x'>" * n, "</div>" * n)
+            deep.append(r["html"].replace("<article>", "<article>" + ends[0]).replace("</article>", ends[1] + "</article>"))
+            deep.append(r["html"].replace("<nav>", "<nav>" + ends[0]).replace("</nav>", ends[1] + "</nav>"))
+    want = [" ".join(t for p, t, _ in html_extract.blocks(h) if html_extract.teacher(p)) for h in deep]
+    got = html_extract.extract(deep, model, {})
+    assert len(deep) > 40 and np.mean([a == b for a, b in zip(got, want)]) > 0.95
+    # a page whose every block lies below more than twelve wrappers keeps the names above them apart
+    near, far = ((("article",), *[("div",)] * 20, ("p",)), (("nav",), *[("div",)] * 20, ("p",)))
+    assert set(html_extract._path_rows(near, {})) != set(html_extract._path_rows(far, {}))
+
+
 def test_registered():
     assert {q.split("_")[0] for q in queries.queries()} == {"pipeline", *(f"op{i}" for i in range(1, 11))}

@@ -11,8 +11,9 @@ No table holds labels, so the labeller is fitted to a teacher on a bounded
 sample of pages: a block is main text if its tag path passes through an
 ``article`` or ``main`` element, or a container named like one, and through no
 element or name of ``BOILERPLATE`` below it. Sampled pages are learnt from
-again with blocks of other pages set in under names of ``BOILERPLATE`` and the
-article renamed, so that other layouts than the sampled are covered.
+again with blocks of other pages set in under names of ``BOILERPLATE``, the
+article renamed and up to ``WRAPPERS`` plain elements set around or within it,
+so that other and deeper layouts than the sampled are covered.
 
 Defined cases: a null or empty page, and one without text, gives an empty
 text; unclosed and crossing tags close with the element around them; script,
@@ -40,6 +41,7 @@ from zerobill.llm.text import hash_words, split_words
 SAMPLE_PAGES, SAMPLE_CHARS = 240, 1 << 15
 PATH_ROWS, WORD_ROWS = 1 << 12, 1 << 10
 PATH_DIM, WORD_DIM, SIZES, HIDDEN = 16, 8, 4, 16
+WRAPPERS = 40
 INPUT = PATH_DIM + WORD_DIM + SIZES
 
 # Fixed values of the HTML standard and of common page layouts.
@@ -145,12 +147,13 @@ def teacher(path: tuple[tuple[str, ...], ...]) -> bool:
 
 
 def _path_rows(path: tuple[tuple[str, ...], ...], cache: dict) -> np.ndarray:
-    """Rows of every name on the path; a name's parts, too, so that 'ad-top' is near 'ad'."""
+    """Rows of every name on the path, once each; a name's parts, too, so that 'ad-top' is near 'ad'."""
     if path not in cache:
         if len(cache) > 50_000:
             cache.clear()
-        names = [(f"{'t' if i == 0 else 'n'}:{part}") for e in path[-12:] for i, name in enumerate(e) for part in {name.lower(), *_PARTS.split(name.lower())} if part]
+        names = [(f"{'t' if i == 0 else 'n'}:{part}") for e in path for i, name in enumerate(e) for part in {name.lower(), *_PARTS.split(name.lower())} if part]
         names.append(f"leaf:{path[-1][0]}" if path else "leaf:")
+        names = dict.fromkeys(names)  # wrappers of one name, however many, do not outweigh the others
         cache[path] = np.array([zlib.crc32(x.encode()) % PATH_ROWS for x in names], np.int64)
     return cache[path]
 
@@ -294,6 +297,14 @@ class Labeller:
                     setattr(self, n, (getattr(self, n) - step).astype(np.float32))
 
 
+def _wrapped(found: list, rng: np.random.Generator) -> list:
+    """The page with plain elements set into every path, at one depth of the page."""
+    marks = [(), *((f"w{i}",) for i in rng.integers(1 << 20, size=4))]  # names without a meaning
+    new = tuple((("div", "section", "center", "td")[rng.integers(4)], *marks[rng.integers(len(marks))]) for _ in range(rng.integers(1, WRAPPERS + 1)))
+    at = int(rng.integers(2, 4))  # around what the body holds, or within it
+    return [((*p[:at], *new, *p[at:]), t, k) for p, t, k in found]
+
+
 def _varied(found: list, others: list[str], rng: np.random.Generator) -> list:
     """The page with its article renamed and strangers' text set in under boilerplate names."""
     kind = rng.integers(3)
@@ -331,7 +342,7 @@ def fit(pages: DataFrame, rows: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS) -
     others = [t for b in parsed for _, t, _ in b]
     rng, cache, data = np.random.default_rng(4), {}, []
     for b in parsed:
-        for found in (b, _varied(b, others, rng), _varied(b, others, rng)):
+        for found in (b, _varied(b, others, rng), _varied(b, others, rng), _wrapped(_varied(b, others, rng), rng)):
             data.append((Page(found, cache), np.array([teacher(p) for p, _, _ in found], np.float32)))
     model = Labeller()
     model.train(data)
