@@ -96,6 +96,18 @@ def test_decontamination_finds_whole_items_only(spark, no_docs):
     assert decontaminate.contaminated(spark, df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_with_null_items_and_many_slices(spark, monkeypatch):
+    items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()][:12]
+    bench = spark.createDataFrame([(None if i == 0 else d, t) for i, (d, t) in enumerate(items)], "item_id bigint, text string")
+    df = spark.createDataFrame([(i, f"before {t} behind") for i, (_, t) in enumerate(items)] + [(99, "nothing of it")], "doc_id bigint, text string")
+    want = sorted(((i, None if i == 0 else d) for i, (d, _) in enumerate(items)), key=str)
+    for size in (4096, 1):
+        monkeypatch.setattr(decontaminate, "SLICE_ITEMS", size)
+        got = decontaminate.contaminated(spark, df, bench).select("doc_id", "item_id").collect()
+        assert set(want) <= set(map(tuple, got))
+        assert [r["doc_id"] for r in decontaminate.contaminated(spark, df, bench, keep=True).collect()] == [99]
+
+
 def test_decontamination_against_brute_force(spark):
     bench = [tuple(r) for r in spark.read.parquet(f"{MID}/benchmark.parquet").select("item_id", "text").collect()]
     want = set()

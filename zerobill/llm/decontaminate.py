@@ -18,12 +18,12 @@ sentence; where there is only one, its last third of words is the answer.
 Words are runs of anything but ASCII white space, lower-cased (A-Z) and with
 ASCII marks at either end taken off.
 
-Only the index is shared with the tasks, in slices of at most
-``SLICE_ITEMS`` items, one pass over the documents a slice; document
-frequencies are of all items.
+Only the index is shared with the tasks, four indexes at a time, each of at
+most about ``SLICE_ITEMS`` items of like length; each group is one pass over
+the documents, staged before the next; document frequencies are of all items.
 
 Defined cases: null or empty texts and items without words match nothing; a
-null id is carried as null; items with equal texts are all reported; repeated
+null id, of a document or an item, is carried as null; items with equal texts are all reported; repeated
 rows are reported for each row; empty tables give no rows.
 """
 
@@ -33,13 +33,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zerobill.llm.common import fresh_task, table, typed
+from zerobill.llm.common import fresh_task, release, staged, table, typed
 from zerobill.llm.text import bare_hashes, mix, slices, split_words, utf8
 
 K1, B = 1.2, 0.75
@@ -202,7 +203,7 @@ def _indexes(benchmark: DataFrame) -> Iterator[Index]:
     Each slice is read apart, so that the driver holds ``SLICE_ITEMS`` items
     and their words' frequencies at a time.
     """
-    items = typed(benchmark, "item_id", "text", types={"item_id": "bigint", "text": "string"}).where(F.col("item_id").isNotNull())
+    items = typed(benchmark, "item_id", "text", types={"item_id": "bigint", "text": "string"})
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,15 +237,21 @@ def _by_length(items: list[tuple[int, str]]) -> list[list[tuple[int, str]]]:
     return [groups[k] for k in sorted(groups)]
 
 
+def _groups(benchmark: DataFrame) -> Iterator[list[Index]]:
+    """A few indexes at a time, made when asked for; one empty group without items."""
+    indexes = _indexes(benchmark)
+    some = list(islice(indexes, 4))
+    yield some
+    while some := list(islice(indexes, 4)):
+        yield some
+
+
 _FOUND = "doc_id bigint, item_id bigint, score double, question_overlap double, answer_overlap double"
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, keep: bool = False) -> DataFrame:
     """One row for each document and item found in it; with ``keep`` instead the
     rows of ``docs`` in which nothing was found."""
-    indexes = list(_indexes(benchmark))
-    groups = [indexes[i : i + 4] for i in range(0, len(indexes), 4)] or [[]]
-
     def find(batch: pa.RecordBatch, some: list[Index]) -> list[tuple]:
         data, offsets = utf8(batch.column("text"))
         out = []
@@ -256,8 +263,13 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, kee
         return out
 
     if keep:
-        kept = docs
-        for some in groups:
+        kept, last = docs, None
+        for turn, some in enumerate(_groups(benchmark)):
+            if turn:  # a pass ends before the next one's indexes are shared
+                kept = staged(spark, kept, "decontaminated")
+                if last is not None:
+                    release(spark, last)
+                last = kept
             shared = spark.sparkContext.broadcast(some)
 
             def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -285,7 +297,12 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, kee
 
         return typed(docs, "doc_id", "text").mapInArrow(run, _FOUND)
 
-    return reduce(DataFrame.unionAll, [pairs(some) for some in groups])
+    found: list[DataFrame] = []
+    for some in _groups(benchmark):
+        if found:
+            found[-1] = staged(spark, found[-1], "leaks")
+        found.append(pairs(some))
+    return reduce(DataFrame.unionAll, found)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
