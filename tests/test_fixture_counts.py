@@ -1,7 +1,7 @@
 """Row counts of FIXTURES.md section 3 (adapter and every stage)."""
 
 import pytest
-from conftest import SF_ORACLE, SF_SMALL
+from testdata import SF_ORACLE, SF_SMALL
 
 from zerobill.operators import alarm as A
 from zerobill.plans.registry import plan_for

@@ -1,7 +1,7 @@
 """Invariants of the alarm output."""
 
 import pytest
-from conftest import SF_ORACLE
+from testdata import SF_ORACLE
 
 from zerobill.operators import alarm as A
 from zerobill.plans.registry import plan_for

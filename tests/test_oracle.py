@@ -5,7 +5,7 @@ import decimal
 
 import duckdb
 import pytest
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 import __spark_entry__ as E
 

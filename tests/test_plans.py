@@ -4,7 +4,7 @@ import contextlib
 import io
 
 import pytest
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 import __spark_entry__ as E
 from zerobill.plans.registry import QUERIES

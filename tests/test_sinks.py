@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 from zerobill.plans.job import AlarmPlan, run_month
 from zerobill.plans.registry import plan_for

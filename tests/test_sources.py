@@ -11,7 +11,7 @@ from zerobill.schemas import ALARM_COLUMNS
 from zerobill.session import scratch_path
 from zerobill.sources import sinks
 from zerobill.sources.catalog import SchemaError, conform, read_sources
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 
 def test_conform_casts_and_orders_columns(spark):
