@@ -18,6 +18,7 @@ MODULES = {
     "op8_kd_tree_shards": "sharding",
     "op9_source_mix": "mixing",
     "op10_lstm_html_extract": "html_extract",
+    "op11_best_fit_packing": "packing",
 }
 
 
