@@ -19,6 +19,7 @@ MODULES = {
     "op9_source_mix": "mixing",
     "op10_lstm_html_extract": "html_extract",
     "op11_best_fit_packing": "packing",
+    "op12_best_position_search": "lexical_search",
 }
 
 
