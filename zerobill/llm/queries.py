@@ -20,6 +20,7 @@ MODULES = {
     "op10_lstm_html_extract": "html_extract",
     "op11_best_fit_packing": "packing",
     "op12_best_position_search": "lexical_search",
+    "op13_importance_resampling": "importance",
 }
 
 
