@@ -8,6 +8,7 @@ import pytest
 from testdata import SF_SMALL
 
 import __spark_entry__ as E
+from zerobill.plans.registry import QUERIES
 
 TABLES = ["region", "nation", "customer", "orders", "lineitem"]
 
@@ -37,14 +38,14 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.oracle_sql())
 
 
 SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
                  "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     rel = duck.sql(E.oracle_sql()[name])

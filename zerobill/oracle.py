@@ -134,7 +134,7 @@ def _adapter_ctes() -> str:
     """The five logical inputs derived from the test tables (FIXTURES.md)."""
     return f"""
 src_customer AS (
-    SELECT c.c_custkey AS account_no,
+    SELECT CASE WHEN c.c_custkey % 20 = 0 THEN c.c_custkey + 1000000000000000 ELSE c.c_custkey END AS account_no,
            CASE WHEN r.r_regionkey = 0 THEN NULL WHEN r.r_regionkey = 1 THEN 'NULL'
                 ELSE r.r_name END AS cust_state,
            CASE WHEN c.c_custkey % 33 = 0 THEN NULL
@@ -142,13 +142,15 @@ src_customer AS (
     FROM customer c
     JOIN nation n ON c.c_nationkey = n.n_nationkey
     JOIN region r ON n.n_regionkey = r.r_regionkey
-    WHERE c.c_custkey % 20 <> 0
     UNION ALL
-    SELECT c_custkey, 'ALT_STATE', CAST(10 + c_custkey % 14 AS VARCHAR)
-    FROM customer WHERE c_custkey % 17 = 0 AND c_custkey % 20 <> 0
+    SELECT CASE WHEN c_custkey % 20 = 0 THEN c_custkey + 1000000000000000 ELSE c_custkey END,
+           'ALT_STATE', CAST(10 + c_custkey % 14 AS VARCHAR)
+    FROM customer WHERE c_custkey % 17 = 0
 ),
 src_billing AS (
-    SELECT o.o_orderdate AS prep_date, l.l_orderkey AS bill_ref_no, o.o_custkey AS account_no,
+    SELECT o.o_orderdate AS prep_date,
+           CASE WHEN l.l_orderkey % 11 = 0 THEN l.l_orderkey + 1000000000000000 ELSE l.l_orderkey END AS bill_ref_no,
+           o.o_custkey AS account_no,
            CASE WHEN l.l_returnflag = 'R' THEN CAST(0 AS DECIMAL(18,2))
                 ELSE CAST(l.l_extendedprice AS DECIMAL(18,2)) END AS amount,
            CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_tax AS DECIMAL(4,2)) AS DECIMAL(23,4)) AS tax,
@@ -158,7 +160,6 @@ src_billing AS (
            CASE WHEN o.o_orderpriority = '5-LOW' THEN '1' ELSE '0' END AS backout_status,
            CASE WHEN l.l_linestatus = 'O' THEN NULL WHEN l.l_partkey % 10 = 3 THEN 7 ELSE 0 END AS prep_error_code
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-    WHERE l.l_orderkey % 11 <> 0
 ),
 src_tax_1 AS ({_tax_source(1)}
 ),
