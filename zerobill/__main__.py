@@ -4,11 +4,13 @@
         --customer semantic.customer --billing-line semantic.billing_line \
         --tax-line-1 raw.tax_line_1 --tax-line-2 raw.tax_line_2 \
         --alarm-factor work.alarm_factor \
-        --zero-invoice-path s3://bucket/zero_invoice --alarm-table work.alarm_final
+        --zero-invoice-table work.zero_invoice --alarm-table work.alarm_final
 
 Inputs are catalog tables unless ``--input-format`` names a file format, in
-which case they are paths. ``--alarm-table`` is an existing table (positional
-insert) unless ``--alarm-format`` is given, in which case it is a path.
+which case they are paths. The kept table is ``--zero-invoice-table``, a folder
+(``--zero-invoice-path``), or with both an external table below that folder.
+``--alarm-table`` is an existing table (positional insert) unless
+``--alarm-format`` is given, in which case it is a path.
 ``--replace-period`` makes the alarm write idempotent per month.
 """
 
@@ -30,7 +32,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     for name in ("customer", "billing-line", "tax-line-1", "tax-line-2", "alarm-factor"):
         p.add_argument(f"--{name}", required=True)
     p.add_argument("--input-format", default=None, help="e.g. orc or parquet; default: tables")
-    p.add_argument("--zero-invoice-path", required=True)
+    p.add_argument("--zero-invoice-table", default=None)
+    p.add_argument("--zero-invoice-path", default=None)
     p.add_argument("--alarm-table", required=True)
     p.add_argument("--alarm-format", default=None, help="write to a path in this format")
     p.add_argument("--replace-period", action="store_true")
@@ -43,6 +46,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parse_args(argv)
     if args.replace_period and not args.alarm_format:
         raise SystemExit("--replace-period writes partitioned files: give --alarm-format too")
+    if not args.zero_invoice_table and not args.zero_invoice_path:
+        raise SystemExit("name the kept table: --zero-invoice-table, --zero-invoice-path or both")
     sized = cluster_conf(args.input_bytes, args.cores) if args.input_bytes and args.cores else None
     spark = build_session(app_name="zerobill-monthly", extra=sized)
     sources = read_sources(
@@ -64,6 +69,7 @@ def main(argv: list[str] | None = None) -> None:
         alarm_target=args.alarm_table,
         alarm_format=args.alarm_format,
         idempotent=args.replace_period,
+        zero_invoice_table=args.zero_invoice_table,
     )
 
 

@@ -136,13 +136,19 @@ def month_counts(counter: DataFrame, alarm_factor: DataFrame, grain: str) -> Dat
 def alarm_rows(
     counts: DataFrame, grain: str, ctx: RunContext, with_timestamp: bool = False
 ) -> DataFrame:
-    """Alarm rows in table order (55 columns, or 56 with ``data_alarme``)."""
+    """Alarm rows in table order (55 columns, or 56 with ``data_alarme``).
+
+    Mean, limits and ratios get a column of their own first: the output reads
+    each several times, and a named column is computed once per row.
+    """
     scope_of(grain)
     c = [F.col(name) for name in COUNT_COLUMNS]
-    raw_var = [variation(c[k], c[k + 1]) for k in range(6)]
-    mean = six_month_mean(c[1:])
-    lower = level_lower(mean, "fator_perc_inf")
-    upper = level_upper(mean, "fator_perc_sup")
+    ratios = {f"_var_{k}": variation(c[k], c[k + 1]) for k in range(6)}
+    counts = counts.withColumns({**ratios, "_mean": six_month_mean(c[1:])}).withColumns(
+        {"_lower": level_lower(F.col("_mean"), "fator_perc_inf"), "_upper": level_upper(F.col("_mean"), "fator_perc_sup")}
+    )
+    raw_var = [F.col(name) for name in ratios]
+    mean, lower, upper = (F.col(n) for n in ("_mean", "_lower", "_upper"))
     item = state_key("cust_state") if grain == GRAIN_STATE else F.lit(PERIOD_ITEM)
 
     values: dict[str, Column] = {

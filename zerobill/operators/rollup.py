@@ -11,8 +11,11 @@ partitions.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zerobill.functions import month_key, month_start, segment, tax_or_zero
 from zerobill.run import RunContext
@@ -37,30 +40,64 @@ def customer_segments(customer: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("qtde"))
 
 
-def _bound(df: DataFrame, column: str, day) -> Column:
-    """A literal of ``column``'s own type, so the comparison reaches the scan."""
-    return F.lit(day.isoformat()).cast(df.schema[column].dataType)
+def _bound(kind: T.DataType, day: dt.date) -> Column:
+    """A literal of the column's own type, so the comparison reaches the scan."""
+    return F.lit(day.isoformat()).cast(kind)
+
+
+def _moment(billing: DataFrame) -> Column:
+    """The preparation date as a date or timestamp; text must read as one."""
+    d, kind = F.col("prep_date"), billing.schema["prep_date"].dataType
+    if not isinstance(kind, T.StringType):
+        return d
+    read = d.try_cast(T.TimestampNTZType())
+    return F.when(read.isNotNull() | d.isNull(), read).otherwise(
+        F.raise_error(F.concat(F.lit("prep_date: not a date: "), d)).cast(T.TimestampNTZType())
+    )
 
 
 def in_window(billing: DataFrame, ctx: RunContext) -> Column:
     """The seven closed months as a half-open range on the raw date column.
 
     Equivalent to comparing ``yyyyMM`` texts, but the bounds are pushed to
-    the file scan (row-group and partition pruning).
+    the file scan (row-group and partition pruning). A date stored as text is
+    first held against the window's years, in its own type: any text that
+    reads as a date begins with its year, so this reaches the scan too, and
+    only the years of the window are parsed.
     """
     start, end = ctx.window_bounds()
+    kind = billing.schema["prep_date"].dataType
+    if isinstance(kind, T.StringType):
+        d, last = F.col("prep_date"), end - dt.timedelta(days=1)
+        moment = _moment(billing)
+        return (
+            (d >= f"{start.year:04d}")
+            & (d < f"{last.year + 1:04d}")
+            & (moment >= F.lit(start.isoformat()).cast(T.TimestampNTZType()))
+            & (moment < F.lit(end.isoformat()).cast(T.TimestampNTZType()))
+        )
     d = F.col("prep_date")
-    return (d >= _bound(billing, "prep_date", start)) & (d < _bound(billing, "prep_date", end))
+    return (d >= _bound(kind, start)) & (d < _bound(kind, end))
+
+
+def _status_is(billing: DataFrame, column: str, code: str) -> Column:
+    """Equality with a status code in the type it is stored in."""
+    stored = billing.schema[column].dataType
+    return F.col(column) == (code if isinstance(stored, T.StringType) else F.lit(int(code)).cast(stored))
 
 
 def billable(billing: DataFrame) -> Column:
-    """Line filters: posted, kept type, not backed out, no preparation error."""
-    err = F.col("prep_error_code")
+    """Line filters: posted, kept type, not backed out, no preparation error.
+
+    Codes are compared as stored; a decimal 2.7 is none of the kept types.
+    """
+    err, kind = F.col("prep_error_code"), billing.schema["type_code"].dataType
+    kept = [F.lit(c).cast(kind) for c in KEPT_TYPE_CODES]
     return (
-        (F.col("prep_status") == PREP_STATUS_OK)
-        & F.col("type_code").isin(*KEPT_TYPE_CODES)
-        & (F.col("backout_status") == BACKOUT_STATUS_OK)
-        & (err.isNull() | (err == 0))
+        _status_is(billing, "prep_status", PREP_STATUS_OK)
+        & F.col("type_code").isin(*kept)
+        & _status_is(billing, "backout_status", BACKOUT_STATUS_OK)
+        & (err.isNull() | (err == F.lit(0).cast(billing.schema["prep_error_code"].dataType)))
     )
 
 
@@ -72,7 +109,7 @@ def monthly_billing(billing: DataFrame, ctx: RunContext) -> DataFrame:
     """
     return (
         billing.filter(in_window(billing, ctx) & billable(billing))
-        .groupBy(month_start("prep_date").alias("_month"), "bill_ref_no", "account_no")
+        .groupBy(month_start(_moment(billing)).alias("_month"), "bill_ref_no", "account_no")
         .agg(
             F.sum("amount").alias("sum_amount"),
             F.sum("tax").alias("sum_tax"),
@@ -104,68 +141,78 @@ def billed_invoice_keys(billing: DataFrame) -> DataFrame:
     return billing.select("bill_ref_no").distinct()
 
 
-def restrict_to_billed(tax_lines: DataFrame, billing: DataFrame) -> DataFrame:
-    """Tax lines whose invoice appears in billing.
+def restrict_to_billed(tax: DataFrame, billing: DataFrame) -> DataFrame:
+    """Tax rows whose invoice appears in billing.
 
-    A left-semi join: never duplicates a tax line, and the map-side distinct
+    A left-semi join: never duplicates a tax row, and the map-side distinct
     on the key list shrinks its shuffle to one row per invoice per task.
     """
-    return tax_lines.join(billed_invoice_keys(billing), "bill_ref_no", "left_semi")
+    return tax.join(billed_invoice_keys(billing), "bill_ref_no", "left_semi")
+
+
+def tagged_lines(tax_systems: dict[int, DataFrame]) -> DataFrame:
+    """Bag union of the systems' lines with the system's number in front."""
+    parts = [lines.select(F.lit(k).alias("system"), "*") for k, lines in tax_systems.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def billed_tax_lines(tax_systems: dict[int, DataFrame], billing: DataFrame) -> DataFrame:
+    """Latest-snapshot lines of all systems whose invoice appears in billing.
+
+    One semi-join over the tagged union: billing's key list is built and
+    exchanged once, whatever the number of systems (where Catalyst moves the
+    join below the union, both sides reuse the list's exchange).
+    """
+    return restrict_to_billed(tagged_lines({k: latest_snapshot(v) for k, v in tax_systems.items()}), billing)
 
 
 def qualifying_tax(tax_lines: DataFrame) -> Column:
-    code = F.col("tax_type_code")
-    return (code >= TAX_TYPE_MIN) & (code < TAX_TYPE_MAX) & (F.col("federal_tax") > 0)
+    """Type in the half-open range and a positive amount, compared as stored."""
+    code, kind = F.col("tax_type_code"), tax_lines.schema["tax_type_code"].dataType
+    if isinstance(kind, T.DecimalType) and kind.precision - kind.scale < len(str(TAX_TYPE_MAX)):
+        kind = T.LongType()  # a type too narrow for the bounds
+    low, high = (F.lit(x).cast(kind) for x in (TAX_TYPE_MIN, TAX_TYPE_MAX))
+    return (code >= low) & (code < high) & (F.col("federal_tax") > 0)
 
 
-def system_invoice_tax(
-    tax_lines: DataFrame, billing: DataFrame | None, snapshot_applied: bool = False
+def invoice_tax(
+    tax_systems: dict[int, DataFrame], billing: DataFrame | None, snapshot_applied: bool = False
 ) -> DataFrame:
-    """Tax per invoice of one billing system, latest snapshot, in currency units.
-
-    The billed-invoice restriction (``billing`` given) is keyed on the same
-    column as the aggregate, so it is applied to the per-invoice result: the
-    tax lines are pre-aggregated map-side before any shuffle, and the
-    semi-join reuses the aggregate's partitioning. ``billing=None`` skips the
-    restriction; see ``invoice_tax``. ``snapshot_applied`` means the caller
-    already kept the latest snapshot only (the max must be taken over the
-    whole system, before any other restriction).
+    """Tax per invoice and system, latest snapshot, in currency units: an
+    invoice with lines in both systems appears twice.
+
+    All systems are summed in one aggregate with a conditional sum each, keyed
+    by the invoice alone, so lines are pre-aggregated map-side and there is
+    one exchange. With ``billing`` given, invoices are restricted to those in
+    billing (the staging table as the reference keeps it) by one semi-join
+    that reuses the aggregate's partitioning. The enrichment passes ``None``:
+    it left-joins the tax onto windowed billing rows, whose invoices are
+    billed by construction, so the restriction cannot change its result and
+    the whole-history key scan is skipped. ``snapshot_applied`` means the
+    caller already kept the latest snapshots only (the max must be taken over
+    the whole system, before any other restriction).
     """
-    lines = tax_lines if snapshot_applied else latest_snapshot(tax_lines)
-    per_invoice = (
-        lines.filter(qualifying_tax(lines))
-        .groupBy("bill_ref_no")
-        .agg(
+    lines = {
+        k: (v if snapshot_applied else latest_snapshot(v)).filter(qualifying_tax(v)).select("bill_ref_no", "federal_tax")
+        for k, v in tax_systems.items()
+    }
+    sums = {k: F.sum(F.when(F.col("system") == k, F.col("federal_tax"))) for k in tax_systems}
+    per_invoice = tagged_lines(lines).groupBy("bill_ref_no").agg(
+        *[
             # sum(cents) / 100 equals the sum of per-line cents / 100 exactly in
             # decimal arithmetic, with one division per invoice instead of per line
-            F.round(F.sum("federal_tax") / F.lit(CENTS_PER_UNIT), 2)
-            .cast(INVOICE_TAX_TYPE)
-            .alias("tax")
-        )
+            F.round(s / F.lit(CENTS_PER_UNIT), 2).cast(INVOICE_TAX_TYPE).alias(f"_tax_{k}")
+            for k, s in sums.items()
+        ]
     )
     if billing is not None:
         per_invoice = restrict_to_billed(per_invoice, billing)
-    return per_invoice
-
-
-def invoice_tax(
-    tax_systems: dict[int, DataFrame], billing: DataFrame | None, snapshot_applied: bool = False
-) -> DataFrame:
-    """Bag union of the per-system invoice tax: an invoice may appear twice.
-
-    With ``billing`` given, each system is restricted to invoices present in
-    billing (the staging table as the reference keeps it). The enrichment
-    passes ``None``: it left-joins the tax onto windowed billing rows, whose
-    invoices are billed by construction, so the restriction cannot change its
-    result and the whole-history key scan is skipped.
-    """
-    parts = [
-        system_invoice_tax(lines, billing, snapshot_applied) for lines in tax_systems.values()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    each = F.explode(F.array(*[F.col(f"_tax_{k}") for k in tax_systems])).alias("tax")
+    # amounts are positive, so a system without lines for the invoice is the only NULL
+    return per_invoice.select("bill_ref_no", each).filter(F.col("tax").isNotNull())
 
 
 def attach_tax(monthly: DataFrame, tax: DataFrame) -> DataFrame:
@@ -204,11 +251,12 @@ __all__ = [
     "attach_customer",
     "attach_tax",
     "billed_invoice_keys",
+    "billed_tax_lines",
     "customer_segments",
     "in_window",
     "invoice_tax",
     "latest_snapshot",
     "monthly_billing",
     "restrict_to_billed",
-    "system_invoice_tax",
+    "tagged_lines",
 ]

@@ -332,6 +332,35 @@ _FINAL = {
     GROUP BY 1, 2, 3, 4""",
     "q23_orc_roundtrip": "SELECT * FROM zero_inv",
     "q24_alarm_append": "SELECT * FROM state_alarms_ts UNION ALL SELECT * FROM period_alarms_ts",
+    "q25_kept_table_refresh": """
+    SELECT *, 'orc' AS provider, 'SNAPPY' AS orc_compress, 'false' AS transactional FROM zero_inv""",
+    "q26_alarm_insert_into": "SELECT * FROM state_alarms_ts UNION ALL SELECT * FROM period_alarms_ts",
+    "q27_run_month_kept": "SELECT * FROM zero_inv",
+    "q28_run_month_alarms": "SELECT * FROM state_alarms_ts UNION ALL SELECT * FROM period_alarms_ts",
+    "q29_default_format_table": """
+    SELECT *, 'orc' AS provider FROM invoice_tax UNION ALL SELECT *, 'parquet' FROM invoice_tax""",
+    "q30_stored_layout_billing": f"""
+    SELECT strftime(o_orderdate, '%Y%m') AS prep_date,
+           CASE WHEN l_linenumber % 2 = 0 THEN lpad(CAST(l_orderkey AS VARCHAR), 20, '0')
+                ELSE CAST(l_orderkey AS VARCHAR) END AS bill_ref_no,
+           o_custkey AS account_no,
+           sum(amount)::DECIMAL(30,4) AS sum_amount,
+           sum(sign * price * CAST(l_tax AS DECIMAL(4,2)))::DECIMAL(33,4) AS sum_tax,
+           sum(sign * price * CAST(l_discount AS DECIMAL(4,2)))::DECIMAL(33,4) AS sum_discount,
+           sum(amount) = 0 AS is_zero
+    FROM (
+        SELECT l.*, o.*, sign, CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
+               CASE WHEN l_returnflag = 'A' AND l_partkey % 3 = 0 THEN NULL
+                    WHEN l_returnflag <> 'R' AND l_partkey % 7 = 0 THEN CAST(0.0040 AS DECIMAL(20,4))
+                    ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) * sign AS DECIMAL(20,4)) END AS amount
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+        JOIN (VALUES (1), (-1)) s(sign) ON sign = 1 OR l_returnflag = 'R'
+    )
+    WHERE strftime(o_orderdate, '%Y%m') BETWEEN {_month(7)} AND {_month(1)}
+      AND l_suppkey % 10 <> 0 AND o_orderpriority <> '5-LOW'
+      AND l_linenumber IN (2, 3, 6, 7) AND l_partkey % 5 <> 0
+      AND (l_linestatus = 'O' OR l_partkey % 10 <> 3)
+    GROUP BY 1, 2, 3""",
 }
 
 

@@ -35,7 +35,7 @@ from zerobill.operators import alarm as A
 from zerobill.operators import rollup as R
 from zerobill.operators import zero as Z
 from zerobill.run import RunContext
-from zerobill.session import drop_path, scratch_path
+from zerobill.session import scratch_path, scratch_scope
 from zerobill.sources import Sources
 from zerobill.sources import sinks
 
@@ -59,8 +59,10 @@ class AlarmPlan:
     def latest_tax_lines(self, system: int) -> DataFrame:
         return R.latest_snapshot(self.sources.tax_lines()[system])
 
-    def billed_tax_lines(self, system: int) -> DataFrame:
-        return R.restrict_to_billed(self.latest_tax_lines(system), self.sources.billing_line)
+    @cached_property
+    def billed_tax_lines(self) -> DataFrame:
+        """Both systems, tagged with ``system``, billed invoices only."""
+        return R.billed_tax_lines(self.sources.tax_lines(), self.sources.billing_line)
 
     @cached_property
     def invoice_tax(self) -> DataFrame:
@@ -143,36 +145,44 @@ def run_month(
     spark: SparkSession,
     sources: Sources,
     ctx: RunContext,
-    zero_invoice_path: str,
+    zero_invoice_path: str | None,
     alarm_target: str,
     alarm_format: str | None = sinks.ORC,
     idempotent: bool = False,
+    zero_invoice_table: str | None = None,
 ) -> DataFrame:
     """Run the whole job for ``ctx`` and return the alarm rows written.
 
     1. stage the zero invoice-months below ``spark.checkpoint.dir``;
-    2. overwrite the kept zero-invoice table (ORC, snappy), enriched by
-       semi-joins on the zero keys, and drop the staging, also on failure;
+    2. refresh the kept zero-invoice table (ORC, snappy), enriched by
+       semi-joins on the zero keys; the staging is dropped, also on failure,
+       and a failed run leaves the last kept table in place;
     3. read it back and build the alarms from it;
     4. append them to ``alarm_target`` (or, with ``idempotent=True``, replace
        that month's partitions so a re-run does not duplicate alarms).
 
-    The run timestamp is fixed at the start, so the returned frame repeats the
-    stored rows.
+    The kept table is a folder (``zero_invoice_path``), a catalog table
+    (``zero_invoice_table``), or with both an external table below that
+    folder. The run timestamp is fixed at the start, so the returned frame
+    repeats the stored rows.
     """
     if idempotent and alarm_format is None:
         raise ValueError("idempotent=True writes partitioned files: give alarm_format")
+    if zero_invoice_path is None and zero_invoice_table is None:
+        raise ValueError("name the kept table: zero_invoice_path, zero_invoice_table or both")
     if ctx.run_ts is None:
         now = dt.datetime.now(ZoneInfo(spark.conf.get("spark.sql.session.timeZone")))
         ctx = replace(ctx, run_ts=now.replace(tzinfo=None, microsecond=0))
     plan = AlarmPlan(sources, ctx)
-    stage_path = scratch_path(spark, "zero_billing")
-    try:
+    with scratch_scope(spark):
+        stage_path = scratch_path(spark, "zero_billing")
         sinks.write_table(plan.zero_billing, stage_path)
-        sinks.write_table(enrich_zero_billing(sources, spark.read.orc(stage_path)), zero_invoice_path)
-    finally:
-        drop_path(spark, stage_path)
-    stored = spark.read.orc(zero_invoice_path)
+        kept = enrich_zero_billing(sources, spark.read.orc(stage_path))
+        if zero_invoice_table:
+            sinks.refresh_table(kept, zero_invoice_table, location=zero_invoice_path)
+        else:
+            sinks.write_table(kept, zero_invoice_path)
+    stored = spark.table(zero_invoice_table) if zero_invoice_table else spark.read.orc(zero_invoice_path)
     alarms = alarms_from_zero_invoices(stored, sources.alarm_factor, ctx, with_timestamp=True)
     if idempotent:
         sinks.replace_period(alarms, alarm_target, alarm_format, period=ctx.period)

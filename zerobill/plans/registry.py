@@ -8,20 +8,24 @@ DuckDB oracle in ``zerobill.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zerobill import schemas
 from zerobill.functions import month_key, month_start, state_key
 from zerobill.functions.business import default_segment
 from zerobill.operators import alarm as A
 from zerobill.operators import rollup as R
-from zerobill.plans.job import AlarmPlan
+from zerobill.plans.job import AlarmPlan, run_month
 from zerobill.run import FIXTURE_RUN, RunContext
+from zerobill.schemas import ALARM_SCHEMA
 from zerobill.session import scratch_path
 from zerobill.sources import sinks
-from zerobill.sources.fixture import fixture_sources
+from zerobill.sources.catalog import conform
+from zerobill.sources.fixture import DriverTables, fixture_sources, stored_billing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,17 +37,6 @@ def plan_for(spark: SparkSession, sf_dir: str, ctx: RunContext = FIXTURE_RUN) ->
     return AlarmPlan(fixture_sources(spark, sf_dir), ctx)
 
 
-def _per_system(plan: AlarmPlan, stage: Callable[[int], DataFrame]) -> DataFrame:
-    parts = [
-        stage(system).select(F.lit(system).alias("system"), *TAX_LINE_COLUMNS[1:])
-        for system in plan.sources.tax_lines()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 def q01_customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_for(spark, sf_dir).customer_segments
 
@@ -54,12 +47,12 @@ def q02_monthly_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q03_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = plan_for(spark, sf_dir)
-    return _per_system(plan, plan.latest_tax_lines)
+    latest = {system: plan.latest_tax_lines(system) for system in plan.sources.tax_lines()}
+    return R.tagged_lines(latest).select(*TAX_LINE_COLUMNS)
 
 
 def q04_billed_tax_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = plan_for(spark, sf_dir)
-    return _per_system(plan, plan.billed_tax_lines)
+    return plan_for(spark, sf_dir).billed_tax_lines.select(*TAX_LINE_COLUMNS)
 
 
 def q05_invoice_tax(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +177,104 @@ def q24_alarm_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_alarms(spark, path)
 
 
+def _name(kind: str) -> str:
+    return f"zerobill_{kind}_{uuid.uuid4().hex[:8]}"
+
+
+def q25_kept_table_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept table as a catalog table: created, then fully refreshed, and read
+    back with the format and properties that the catalog has for it."""
+    zero, table, place = plan_for(spark, sf_dir).zero_invoices, _name("kept"), scratch_path(spark, "kept")
+    try:
+        for _ in range(2):
+            sinks.refresh_table(zero, table, location=place)
+        properties = sinks.table_properties(spark, table)
+        return spark.table(table).select(
+            "*",
+            F.lit(sinks.table_provider(spark, table)).alias("provider"),
+            F.lit(properties.get("orc.compress")).alias("orc_compress"),
+            F.lit(properties.get("transactional")).alias("transactional"),
+        )
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the rows stay until the session ends
+
+
+def _alarm_table(spark: SparkSession, table: str) -> None:
+    """An existing alarm table with names of its own, wider integers, at a scratch location."""
+    wider = {"int": "bigint"}
+    columns = ", ".join(
+        f"c{i:02d} {wider.get(f.dataType.simpleString(), f.dataType.simpleString())}" for i, f in enumerate(ALARM_SCHEMA.fields)
+    )
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING orc LOCATION '{scratch_path(spark, 'alarms')}'")
+
+
+def _stored_alarms(spark: SparkSession, table: str) -> DataFrame:
+    stored = spark.table(table)
+    return stored.select(*[F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(stored.columns, ALARM_SCHEMA.fields)])
+
+
+def q26_alarm_insert_into(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both grains' alarms inserted by position, one after the other, into a
+    catalog table that already exists under other column names."""
+    plan, table = plan_for(spark, sf_dir), _name("alarms")
+    _alarm_table(spark, table)
+    try:
+        for grain in A.GRAINS:
+            sinks.append_alarms(plan.grain_alarms(grain, with_timestamp=True), table, fmt=None)
+        return _stored_alarms(spark, table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _run_month(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The production job into two catalog tables, both read back."""
+    kept, alarms = _name("kept"), _name("alarms")
+    _alarm_table(spark, alarms)
+    try:
+        run_month(
+            spark, fixture_sources(spark, sf_dir), FIXTURE_RUN, scratch_path(spark, "kept"), alarms, alarm_format=None, zero_invoice_table=kept
+        )
+        return spark.table(kept), _stored_alarms(spark, alarms)
+    finally:
+        for table in (kept, alarms):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def q27_run_month_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_month(spark, sf_dir)[0]
+
+
+def q28_run_month_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_month(spark, sf_dir)[1]
+
+
+def q29_default_format_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tax staging table without a storage clause, under two session
+    defaults: each time the catalog names the session's format."""
+    tax, parts = plan_for(spark, sf_dir).invoice_tax, []
+    before = spark.conf.get("spark.sql.sources.default")
+    try:
+        for default in ("orc", "parquet"):
+            spark.conf.set("spark.sql.sources.default", default)
+            table = _name("tax")
+            try:
+                sinks.save_as_table(tax, table, path=scratch_path(spark, "tax"))
+                parts.append(spark.table(table).select("*", F.lit(sinks.table_provider(spark, table)).alias("provider")))
+            finally:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+    finally:
+        spark.conf.set("spark.sql.sources.default", before)
+    return parts[0].unionAll(parts[1])
+
+
+def q30_stored_layout_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roll-up of billing lines in another stored layout: nothing is rounded,
+    merged or read as another code on the way in; NULL sums are no zero."""
+    stored = stored_billing(DriverTables(spark, sf_dir))
+    billing = conform(stored, schemas.BILLING_LINE, "billing_line", {"bill_ref_no": stored.schema["bill_ref_no"].dataType})
+    return R.monthly_billing(billing, FIXTURE_RUN).withColumn("is_zero", F.col("sum_amount") == 0)
+
+
 QUERIES: dict[str, Query] = {
     "q01_customer_segments": q01_customer_segments,
     "q02_monthly_billing": q02_monthly_billing,
@@ -208,4 +299,10 @@ QUERIES: dict[str, Query] = {
     "q22_alarm_flag_label": q22_alarm_flag_label,
     "q23_orc_roundtrip": q23_orc_roundtrip,
     "q24_alarm_append": q24_alarm_append,
+    "q25_kept_table_refresh": q25_kept_table_refresh,
+    "q26_alarm_insert_into": q26_alarm_insert_into,
+    "q27_run_month_kept": q27_run_month_kept,
+    "q28_run_month_alarms": q28_run_month_alarms,
+    "q29_default_format_table": q29_default_format_table,
+    "q30_stored_layout_billing": q30_stored_layout_billing,
 }

@@ -59,6 +59,25 @@ SOURCES = {
     "alarm_factor": ALARM_FACTOR,
 }
 
+# What a column is used for decides how an input's stored type is taken over
+# (``zerobill.sources.catalog``).
+KEY, CODE, STATUS, DAY, MEASURE, TEXT, FACTOR = "key", "code", "status", "day", "measure", "text", "factor"
+_ROLES = {
+    KEY: ("account_no", "bill_ref_no"),
+    CODE: ("type_code", "prep_error_code", "tax_type_code"),
+    STATUS: ("prep_status", "backout_status"),
+    DAY: ("prep_date", "dt_foto"),
+    MEASURE: ("amount", "tax", "discount", "federal_tax"),
+}
+
+
+def role(column: str) -> str:
+    for name, columns in _ROLES.items():
+        if column in columns:
+            return name
+    return FACTOR if column.startswith("fator_") else TEXT
+
+
 # Tax per invoice after the cents-to-currency conversion.
 INVOICE_TAX_TYPE = T.DecimalType(29, 2)
 

@@ -4,12 +4,19 @@ Settings are the ones the job relies on; everything else is left to the
 cluster's defaults. Scratch output (lineage cuts, round-trip checks) always
 goes below the cluster's shared ``spark.checkpoint.dir``; a private folder
 is created only when that setting is unset (local tests).
+
+Scratch does not outlive its use: all of a session's scratch lies in one
+folder that the file system deletes when the driver ends, also after an
+error; ``scratch_scope`` drops what a block of code stages when it is left,
+and ``drop_scratch`` drops everything at once.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -94,17 +101,78 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     )
     if not configured and not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="zerobill-ckpt-"))
+    private = None if configured else tempfile.mkdtemp(prefix="zerobill-ckpt-")
+    sc.setCheckpointDir(configured or private)
+    if private:
+        _delete_on_exit(spark, private)
     return sc.getCheckpointDir()
 
 
+#: Scratch folders of each application: its root, then the open scopes.
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
+
+
+def _scratch_folders(spark: SparkSession) -> list[str]:
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/zerobill/{app}-{uuid.uuid4().hex[:8]}"
+        _delete_on_exit(spark, root)
+        _SCRATCH[app] = [root]
+    return _SCRATCH[app]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/zerobill/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path below the shared checkpoint folder, in the innermost open scope."""
+    return f"{_scratch_folders(spark)[-1]}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Whatever takes a scratch path inside the block is dropped when it is
+    left, also by an error. Frames that read it must be used up by then."""
+    folders = _scratch_folders(spark)
+    folder = f"{folders[-1]}/scope-{uuid.uuid4().hex[:8]}"
+    folders.append(folder)
+    try:
+        yield folder
+    finally:
+        folders.remove(folder)
+        drop_path(spark, folder)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Drop all scratch of this session now; later scratch gets a new folder."""
+    for folder in _SCRATCH.pop(spark.sparkContext.applicationId, [])[:1]:
+        drop_path(spark, folder)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system holds it."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within a file system; the target must not exist."""
+    fs, old = _file_system(spark, source)
+    _, new = _file_system(spark, target)
+    if new.getParent() is not None:
+        fs.mkdirs(new.getParent())
+    if fs.exists(new) or not fs.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")

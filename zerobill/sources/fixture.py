@@ -157,6 +157,40 @@ def billing_line(tables: DriverTables) -> DataFrame:
     return conform(out, schemas.BILLING_LINE, "billing_line")
 
 
+def stored_billing(tables: DriverTables) -> DataFrame:
+    """Billing lines as another system might store them: dates and invoice
+    numbers as text (every second line of an order under a number with leading
+    zeros, which is another invoice), signed amounts of four decimals, codes
+    as decimals, statuses as numbers.
+
+    Returned lines come twice, charged and credited, and cancel exactly; some
+    amounts are NULL, some 0.0040, which two decimals would take for zero.
+    """
+    price, key = _money(F.col("l_extendedprice")), F.col("l_orderkey").cast("string")
+    sign = F.col("sign").cast(T.DecimalType(1, 0))
+    lines = tables["lineitem"].withColumn("sign", F.explode(F.when(F.col("l_returnflag") == "R", F.array(F.lit(1), F.lit(-1))).otherwise(F.array(F.lit(1)))))
+    amount = (
+        F.when((F.col("l_returnflag") == "A") & (F.col("l_partkey") % 3 == 0), F.lit(None))
+        .when((F.col("l_returnflag") != "R") & (F.col("l_partkey") % 7 == 0), F.lit("0.0040").cast(T.DecimalType(20, 4)))
+        .otherwise((price * _rate(F.col("l_discount")) * sign).cast(T.DecimalType(20, 4)))
+    )
+    joined = lines.join(tables["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select(
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("prep_date"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.lpad(key, 20, "0")).otherwise(key).alias("bill_ref_no"),
+        F.col("o_custkey").alias("account_no"),
+        amount.alias("amount"),
+        (price * _rate(F.col("l_tax")) * sign).cast(T.DecimalType(23, 4)).alias("tax"),
+        (price * _rate(F.col("l_discount")) * sign).cast(T.DecimalType(23, 4)).alias("discount"),
+        (F.col("l_linenumber").cast(T.DecimalType(4, 1)) + F.when(F.col("l_partkey") % 5 == 0, F.lit("0.7")).otherwise("0.0").cast(T.DecimalType(4, 1)))
+        .cast(T.DecimalType(4, 1))
+        .alias("type_code"),
+        F.when(F.col("l_suppkey") % 10 == 0, 0).otherwise(1).alias("prep_status"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "1").otherwise("0").alias("backout_status"),
+        F.when(F.col("l_linestatus") == "O", F.lit(None).cast("bigint")).when(F.col("l_partkey") % 10 == 3, F.lit(7)).otherwise(F.lit(0)).cast("bigint").alias("prep_error_code"),
+    )
+
+
 def tax_line(tables: DriverTables, system: int) -> DataFrame:
     line = tables["lineitem"]
     price = _money(F.col("l_extendedprice"))
