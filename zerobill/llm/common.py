@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import pickle
 import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,20 @@ def staged(spark: SparkSession, df: DataFrame, name: str, compression: str = "sn
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A broadcast whose classes travel with it, so that executors need no copy
+    of this package; rebuilt once in each worker process."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        if not hasattr(self.sent, "rebuilt"):
+            self.sent.rebuilt = pickle.loads(self.sent.value)
+        return self.sent.rebuilt
+
+
 def release(spark: SparkSession, df: DataFrame | None = None) -> None:
     """Drop a staged table that nothing reads any more, and let Spark's cleaner
     find shuffle files of finished jobs without waiting for memory to fill."""

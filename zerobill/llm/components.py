@@ -32,4 +32,6 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         if tuple(sums) == seen:
             break
         seen = tuple(sums)
+    else:
+        raise RuntimeError("the edges have not become stars")
     return cur.select(F.col("v").alias("node"), F.col("u").alias("label")).unionAll(cur.select(F.col("u").alias("node"), F.col("u").alias("label")).distinct())

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zerobill.llm.common import table, typed
+from zerobill.llm.common import Shared, table, typed
 from zerobill.llm.text import hash_words, split_words
 
 #: Bound of the training sample: pages, and characters of each.
@@ -47,7 +47,7 @@ INPUT = PATH_DIM + WORD_DIM + SIZES
 # Fixed values of the HTML standard and of common page layouts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN_TEXT = frozenset("script style noscript template title textarea select option svg iframe object head".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 MAIN = frozenset("article main".split())
 BOILERPLATE = (
     "nav header footer aside form button menu dialog ad ads advert advertisement banner sponsor promo comment comments reply disqus cookie consent notice "
@@ -114,7 +114,7 @@ def blocks(page: str) -> list[tuple[tuple[tuple[str, ...], ...], str, int]]:
             continue
         if tag not in INLINE:
             flush()
-        if tag in VOID or m[3].endswith("/"):
+        if tag in VOID:  # a slash at the end closes no other element
             continue
         if tag in ("script", "style"):
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, pos)
@@ -360,7 +360,7 @@ def extract(pages: list[str], model: Labeller, cache: dict) -> list[str]:
 
 def extract_pages(spark: SparkSession, pages: DataFrame, model: Labeller) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = Shared(spark, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict = {}
