@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zerobill.llm.common import fresh_task, release, staged, table, typed
+from zerobill.llm.common import Shared, fresh_task, release, staged, table, typed
 from zerobill.llm.text import bare_hashes, mix, slices, split_words, utf8
 
 K1, B = 1.2, 0.75
@@ -48,6 +48,10 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5
 #: Shares of the question's and answer's n-grams that must stand in the passage.
 QUESTION_OVERLAP, ANSWER_OVERLAP, GRAM = 0.5, 0.5, 3
+#: Share of all the item's n-grams that tells a passage whatever its answer's.
+WHOLE_OVERLAP = 0.8
+#: Least share of an item's words that its last sentences must have to be the answer.
+ANSWER_WORDS = 0.25
 #: Share of an item's threshold that its common words may reach together.
 ESSENTIAL = 0.5
 BLOCK_ITEMS, SLICE_ITEMS = 4, 4096
@@ -66,10 +70,13 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
 
 
 def question_and_answer(text: str) -> tuple[str, str]:
-    parts = [p for p in re.split(r"(?<=[.?!])\s+", text.strip()) if p]
-    if len(parts) > 1:
-        return text[: text.rindex(parts[-1])], parts[-1]
+    """The last sentences with at least ``ANSWER_WORDS`` of the words are the
+    answer; where that takes all of them, the last third of the words is."""
+    text = text.strip()
     words = text.split()
+    for cut in reversed([m.end() for m in re.finditer(r"(?<=[.?!])\s+", text)]):
+        if len(text[cut:].split()) >= ANSWER_WORDS * len(words):
+            return text[:cut], text[cut:]
     cut = len(words) - max(1, len(words) // 3)
     return " ".join(words[:cut]), " ".join(words[cut:])
 
@@ -190,7 +197,9 @@ class Index:
                 # an item cut by a passage's end is judged on the words around, too
                 a, b = max(starts[p] - self.half, docs[doc[p]]), min(ends[p] + self.half, docs[doc[p] + 1])
                 q, ans = (float(np.isin(g, grams(h[a:b], k)).mean()) if len(g) else 1.0 for k, g in self.grams[item])
-                if q >= QUESTION_OVERLAP and ans >= ANSWER_OVERLAP:
+                sizes = [len(g) for _, g in self.grams[item]]
+                whole = (q * sizes[0] + ans * sizes[1]) / max(1, sum(sizes))
+                if (q >= QUESTION_OVERLAP and ans >= ANSWER_OVERLAP) or whole >= WHOLE_OVERLAP:
                     key, value = (int(doc[p]), item), (score / (self.need[item] / THRESHOLD), q, ans)
                     best[key] = max(best.get(key, value), value)
         for (d, item), (score, q, ans) in sorted(best.items()):
@@ -270,7 +279,7 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, kee
                 if last is not None:
                     release(spark, last)
                 last = kept
-            shared = spark.sparkContext.broadcast(some)
+            shared = Shared(spark, some)
 
             def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
                 fresh_task()
@@ -283,7 +292,7 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, kee
         return kept
 
     def pairs(some: list[Index]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(some)
+        shared = Shared(spark, some)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
