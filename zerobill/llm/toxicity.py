@@ -1,16 +1,20 @@
 """Operator 4: toxicity by the nearest labelled examples under TF-IDF cosine.
 
 A bounded sample of labelled rows gives the examples. The vector space has
-every word of the examples; document frequencies are of all documents. A
-word's weight is damped, never to zero, by how far its presence goes with the
-label in the sample (log-likelihood ratio), so that the many words without
-bearing on the label do not drown those with. Examples are kept in posting
+every word; document frequencies are of all documents. A word's weight is
+damped, never to zero, by how far its presence goes with the label in the
+sample (log-likelihood ratio), so that the many words without bearing on the
+label do not drown those with. A word that no example holds is part of a
+document's norm with the weight of a word that no document holds and that goes
+with neither label, so a text that shares one word with the examples and
+nothing else is far from all of them. Examples are kept in posting
 lists with the largest weight of each word in each block of examples; words
 that many examples hold have a list with a place for every example, multiplied
 as a matrix. The K-th best sum of these words alone is the least that the K-th
 best similarity can be; a document opens every block whose bound reaches it, so
 the K nearest are exact. Votes are weighted by similarity and calibrated by
-isotonic regression on the examples' own leave-one-out votes.
+isotonic regression on the examples' own leave-one-out votes, which tasks
+cast; the driver holds the postings and one number an example.
 
 Words are lower-cased (A-Z) and have ASCII marks at either end taken off.
 
@@ -25,6 +29,7 @@ order; without labels of both classes every score is the share of label 1, or
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -32,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zerobill.llm.common import held_out, labelled_sample, table, typed
+from zerobill.llm.common import Shared, held_out, labelled_sample, table, typed
 from zerobill.llm.text import bare_hashes, slices, split_words, utf8
 
 SAMPLE_ROWS, SAMPLE_BYTES = 8000, 1 << 16
@@ -92,15 +97,30 @@ class Vectors(NamedTuple):
         return cls(np.searchsorted(row, np.arange(len(x) + 1)), term, x[row, term].astype(np.float32), x.shape[1])
 
 
+def _unknown(data: np.ndarray, offsets: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """For each document the sum of (1 + ln count) ** 2 over its distinct words outside ``terms``."""
+    w = split_words(data, offsets, lower=True)
+    h = bare_hashes(w)
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(w.docs))
+    at = np.minimum(np.searchsorted(terms, h), max(0, len(terms) - 1))
+    new = terms[at] != h if len(terms) else np.ones(len(h), bool)
+    doc, h = doc[new], h[new]
+    order = np.lexsort((h, doc))
+    doc, h = doc[order], h[order]
+    first = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])))) if len(h) else np.zeros(0, np.int64)
+    count = np.diff(np.append(first, len(h)))
+    return np.bincount(doc[first], (1 + np.log(np.maximum(count, 1))) ** 2, minlength=len(offsets) - 1)
+
+
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers from each start on, one range behind the other."""
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - starts, sizes)
 
 
-def _vectors(doc: np.ndarray, term: np.ndarray, count: np.ndarray, n_docs: int, weights: np.ndarray) -> Vectors:
-    """``doc`` ascends."""
+def _vectors(doc: np.ndarray, term: np.ndarray, count: np.ndarray, n_docs: int, weights: np.ndarray, others: np.ndarray | float = 0.0) -> Vectors:
+    """``doc`` ascends; ``others`` is the part of each squared norm that other words have."""
     w = (1 + np.log(count)) * weights[term]
-    norm = np.sqrt(np.bincount(doc, w**2, minlength=n_docs))
+    norm = np.sqrt(np.bincount(doc, w**2, minlength=n_docs) + others)
     return Vectors(np.searchsorted(doc, np.arange(n_docs + 1)), term, (w / norm[doc]).astype(np.float32), len(weights))
 
 
@@ -120,6 +140,19 @@ def label_weights(doc: np.ndarray, at: np.ndarray, y: np.ndarray, n_words: int)
     return ratio / (ratio + HALF_RATIO)
 
 
+class Lists(NamedTuple):
+    """Posting lists as a search reads them."""
+
+    place: np.ndarray  # of a word among those with a place for every example, or -1
+    full: np.ndarray  # these words by examples
+    example: np.ndarray  # the other postings, word by word
+    weight: np.ndarray
+    starts: np.ndarray  # of the entries of a word and block, one more than entries
+    block_of: np.ndarray
+    maxima: np.ndarray
+    first: np.ndarray  # entry of each word, one more than words
+
+
 class BlockMaxIndex:
     """Posting lists over examples in blocks of like ones, and each word's largest weight in a block."""
 
@@ -130,38 +163,45 @@ class BlockMaxIndex:
         order = np.lexsort((-v.weight, v.row))
         first, second = (v.term[order[np.minimum(v.ends[some] + k, v.ends[some + 1] - 1)]] for k in (0, 1))
         some = some[np.lexsort((second, first, y[some]))]
-        self.examples, self.y, self.ids, self.rows = v.take(some), y[some], ids[some], some
-        order = np.argsort(self.examples.term, kind="stable")  # by word, then by example
-        self._lists(np.bincount(self.examples.term, minlength=v.width), self.examples.row[order], self.examples.weight[order])
-
-    def _lists(self, size: np.ndarray, example: np.ndarray, weight: np.ndarray) -> None:
-        """``size``: postings of each word; ``example``, ``weight``: the postings, word by word."""
-        n, width = len(self.y), len(size)
-        self.size, self.postings = size.astype(np.int32), (example.astype(np.min_scalar_type(max(1, n))), weight)
-        self.blocks = -(-n // BLOCK)
-        term = np.repeat(np.arange(width), size)
+        examples, self.y, self.ids, self.rows = v.take(some), y[some], ids[some], some
+        order = np.argsort(examples.term, kind="stable")  # by word, then by example
+        self.size = np.bincount(examples.term, minlength=v.width).astype(np.int32)
+        self.example_of = examples.row[order].astype(np.min_scalar_type(max(1, len(some))))
+        self.weight_of = examples.weight[order]
+
+    @property
+    def blocks(self) -> int:
+        return -(-len(self.y) // BLOCK)
+
+    @cached_property
+    def examples(self) -> Vectors:
+        """The examples' vectors again, from the postings."""
+        order = np.argsort(self.example_of, kind="stable")
+        ends = np.searchsorted(self.example_of[order], np.arange(len(self.y) + 1))
+        return Vectors(ends, np.repeat(np.arange(len(self.size)), self.size)[order], self.weight_of[order], len(self.size))
+
+    @cached_property
+    def lists(self) -> Lists:
+        """Block entries and full lists, made where a search first needs them: in the tasks."""
+        n, size, example, weight = len(self.y), self.size, self.example_of.astype(np.int64), self.weight_of
+        term = np.repeat(np.arange(len(size)), size)
         common = np.flatnonzero(size * COMMON >= max(1, n))
-        self.common = np.full(width, -1, np.int32)
-        self.common[common] = np.arange(len(common))
-        full = self.common[term] >= 0
-        self.full = np.zeros((len(common), n), np.float32)
-        self.full[self.common[term[full]], example[full]] = weight[full]
-        term, self.example, self.weight = term[~full], example[~full].astype(np.int32), weight[~full]
+        place = np.full(len(size), -1, np.int32)
+        place[common] = np.arange(len(common))
+        in_full = place[term] >= 0
+        full = np.zeros((len(common), n), np.float32)
+        full[place[term[in_full]], example[in_full]] = weight[in_full]
+        term, example, weight = term[~in_full], example[~in_full].astype(np.int32), weight[~in_full]
         # one entry for each word and block: where its postings start, and the largest of them
-        block = self.example // BLOCK
+        block = example // BLOCK
         starts = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])))) if len(term) else np.zeros(0, np.int64)
-        self.starts = np.append(starts, len(term)).astype(np.int32)
-        self.block_of = block[starts]
-        self.maxima = np.maximum.reduceat(self.weight, starts) if len(term) else self.weight
-        self.first = np.searchsorted(term[starts], np.arange(width + 1)).astype(np.int32)
+        maxima = np.maximum.reduceat(weight, starts) if len(term) else weight
+        first = np.searchsorted(term[starts], np.arange(len(size) + 1)).astype(np.int32)
+        return Lists(place, full, example, weight, np.append(starts, len(term)).astype(np.int32), block[starts], maxima, first)
 
-    def __getstate__(self) -> tuple:
+    def __getstate__(self) -> dict:
         """What is shared with the tasks: the postings alone, from which they build the rest."""
-        return self.y, self.ids, self.size, *self.postings
-
-    def __setstate__(self, state: tuple) -> None:
-        self.y, self.ids, *lists = state
-        self._lists(*lists)
+        return {k: v for k, v in self.__dict__.items() if k not in ("lists", "examples")}
 
     @property
     def vectors(self) -> np.ndarray:
@@ -183,27 +223,28 @@ class BlockMaxIndex:
 
     def _nearest(self, q: Vectors, k: int, skip: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         m, n, row = len(q.ends) - 1, len(self.y), q.row
-        common = self.common[q.term]
+        own = self.lists
+        common = own.place[q.term]
         full = common >= 0
-        dense = np.zeros((m, len(self.full)), np.float32)
+        dense = np.zeros((m, len(own.full)), np.float32)
         dense[row[full], common[full]] = q.weight[full]
         term, row, weight = q.term[~full], row[~full], q.weight[~full].astype(np.float64)
-        size = self.first[term + 1] - self.first[term]
-        entry = _ranges(self.first[term], size)
-        row, weight, block = np.repeat(row, size), np.repeat(weight, size), self.block_of[entry]
-        sim = dense @ self.full  # of the common words; the others are added where a block is opened
+        size = own.first[term + 1] - own.first[term]
+        entry = _ranges(own.first[term], size)
+        row, weight, block = np.repeat(row, size), np.repeat(weight, size), own.block_of[entry]
+        sim = dense @ own.full  # of the common words; the others are added where a block is opened
         if skip is not None:
             out = np.flatnonzero(skip >= 0)
             sim[out, skip[out]] = -1
         at = max(0, n - k)
         least = np.partition(sim, at, axis=1)[:, at] if n >= k else np.zeros(m, np.float32)
-        rest = np.bincount(row * self.blocks + block, weight * self.maxima[entry], minlength=m * self.blocks).reshape(m, -1)
+        rest = np.bincount(row * self.blocks + block, weight * own.maxima[entry], minlength=m * self.blocks).reshape(m, -1)
         opened = np.maximum.reduceat(sim, np.arange(0, n, BLOCK), axis=1) + rest > np.maximum(least, 0)[:, None] - 1e-6
         on = np.flatnonzero(opened[row, block])
-        first = self.starts[entry[on]]
-        size = self.starts[entry[on] + 1] - first
+        first = own.starts[entry[on]]
+        size = own.starts[entry[on] + 1] - first
         post = _ranges(first, size)
-        sim += np.bincount(np.repeat(row[on] * n, size) + self.example[post], np.repeat(weight[on], size) * self.weight[post], minlength=m * n).reshape(m, n)
+        sim += np.bincount(np.repeat(row[on] * n, size) + own.example[post], np.repeat(weight[on], size) * own.weight[post], minlength=m * n).reshape(m, n)
         if skip is not None:
             sim[out, skip[out]] = -1
         least = np.partition(sim, at, axis=1)[:, at]
@@ -231,18 +272,15 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class NearestExamples:
-    """Everything a task needs: terms, their weights, index, calibration."""
+    """Everything a task needs: terms, their weights, the weight of any other word, index."""
 
-    def __init__(self, terms: np.ndarray, weights: np.ndarray, vectors: Vectors, y: np.ndarray, ids: np.ndarray):
-        self.terms, self.weights = terms, weights
+    def __init__(self, terms: np.ndarray, weights: np.ndarray, other: float, vectors: Vectors, y: np.ndarray, ids: np.ndarray):
+        self.terms, self.weights, self.other = terms, weights, other
         self.prior = float(y.mean()) if len(y) else 0.0
         self.index = BlockMaxIndex(vectors, y, ids)
         empty = np.ones(len(y), bool)
         empty[self.index.rows] = False
         self.silent = (y[empty].sum() + self.prior) / (empty.sum() + 1)
-        own = np.arange(len(self.index.y))
-        raw, _, _ = self.votes(self.index.examples, own)
-        self.knots = isotonic(raw, self.index.y) if len(own) else None
 
     def votes(self, queries: Vectors, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sim, at = self.index.nearest(queries, NEIGHBOURS, skip)
@@ -250,22 +288,27 @@ class NearestExamples:
         y = self.index.y[np.maximum(at, 0)] if len(self.index.y) else np.zeros(at.shape)
         return ((weight * y).sum(axis=1) + 0.05 * self.prior) / (weight.sum(axis=1) + 0.05), sim, at
 
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def left_out(self, own: np.ndarray) -> np.ndarray:
+        """The votes of examples that may not vote for themselves."""
+        return self.votes(self.index.examples.take(own), own)[0]
+
+    def score(self, data: np.ndarray, offsets: np.ndarray, knots: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(score, similarity of the nearest example or null, its id or null)."""
         n = len(offsets) - 1
         doc, term, count = _doc_terms(data, offsets, self.terms)
         score, sim, near = np.full(n, self.silent), np.full(n, np.nan), np.full(n, -1, np.int64)
         rows = np.unique(doc)
-        if len(rows) and self.knots is not None:
-            q = _vectors(np.searchsorted(rows, doc), term, count, len(rows), self.weights)
+        if len(rows) and knots is not None:
+            others = self.other**2 * _unknown(data, offsets, self.terms)[rows]
+            q = _vectors(np.searchsorted(rows, doc), term, count, len(rows), self.weights, others)
             raw, s, at = self.votes(q)
-            score[rows] = np.interp(raw, *self.knots)
+            score[rows] = np.interp(raw, *knots)
             sim[rows] = np.where(at[:, 0] >= 0, s[:, 0], np.nan)
             near[rows] = at[:, 0]
         return score, sim, near
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES) -> NearestExamples:
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES) -> Calibrated:
     sample = labelled_sample(docs, labels, "toxic", rows, max_bytes).toArrow()
     y = np.array(sample.column("y").to_pylist(), np.float64)
     ids = np.array(sample.column("doc_id").to_pylist(), np.int64)
@@ -277,12 +320,40 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = SAM
     doc, word, count = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
     if not (len(y) and y.min() < y.max()):
         doc, word, count = doc[:0], word[:0], count[:0]
+    del sample, data, parts
     terms, at = np.unique(word, return_inverse=True)
     total, df = document_frequencies(docs, terms)
     weights = np.log((1 + total) / (1 + df)) + 1
     if len(terms):
         weights *= label_weights(doc, at, y, len(terms))
-    return NearestExamples(terms, weights, _vectors(doc, at, count, len(y), weights), y, ids)
+    # as a word that no document holds, whose presence says nothing
+    other = (float(np.log(1 + total)) + 1) / (1 + HALF_RATIO)
+    model = NearestExamples(terms, weights, other, _vectors(doc, at, count, len(y), weights), y, ids)
+    return Calibrated(spark, model)
+
+
+class Calibrated:
+    """A model shared with the tasks and its calibration.
+
+    The leave-one-out votes are cast in tasks, a slice of the examples each;
+    one number an example comes back.
+    """
+
+    def __init__(self, spark: SparkSession, model: NearestExamples, slice_rows: int = 512):
+        self.shared = shared = Shared(spark, model)  # the words of at most SAMPLE_ROWS examples of SAMPLE_BYTES
+        self.terms, y = model.terms, model.index.y
+        self.knots: tuple[np.ndarray, np.ndarray] | None = None
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = batch.column("id").to_numpy()
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(shared.value.left_out(own), pa.float64())], ["id", "vote"])
+
+        if len(y):
+            votes = spark.range(0, len(y), 1, -(-len(y) // slice_rows)).mapInArrow(run, "id bigint, vote double").toArrow()
+            raw = np.empty(len(y))
+            raw[votes.column("id").to_numpy()] = votes.column("vote").to_numpy()
+            self.knots = isotonic(raw, y)
 
 
 def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.ndarray]:
@@ -305,16 +376,16 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.nd
     return int(out[-1]), out[:-1]
 
 
-def score_documents(spark: SparkSession, docs: DataFrame, model: NearestExamples) -> DataFrame:
+def score_documents(spark: SparkSession, docs: DataFrame, model: Calibrated) -> DataFrame:
     """doc_id, held_out, score, predicted, and the nearest example as evidence."""
-    shared = spark.sparkContext.broadcast(model)  # the words of at most SAMPLE_ROWS examples of SAMPLE_BYTES
+    shared, knots = model.shared, model.knots
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             for i, j in slices(offsets):
-                score, sim, near = m.score(data, offsets[i : j + 1])
+                score, sim, near = m.score(data, offsets[i : j + 1], knots)
                 ids = m.index.ids[np.maximum(near, 0)] if len(m.index.ids) else near
                 cols = [batch.column(c).slice(i, j - i) for c in ("doc_id", "held_out")]
                 cols += [pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32)), pa.array(sim, mask=np.isnan(sim)), pa.array(ids, mask=near < 0)]
