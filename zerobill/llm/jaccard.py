@@ -372,13 +372,14 @@ def _grouped(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -
     )
     at = nodes.select("node", "n", F.col("low.place").alias("place"))
     wanted = staged(spark, at.join(clusters, "node"), "jaccard-wanted")
-    signed = rows.where(F.col("bucket").isNull()).select("place", "sig").join(_dealt(wanted, num, den, SIGNATURE_TILE), "place")
+    # sort-merge joins at any size: the side that is wanted grows with the corpus
+    signed = rows.where(F.col("bucket").isNull()).select("place", "sig").join(_dealt(wanted, num, den, SIGNATURE_TILE).hint("merge"), "place")
     near = _meetings(signed, "n", "sig").groupBy("cluster", "t1", "t2").applyInPandas(_bounded_edges(num, den), "a bigint, b bigint")
     closer = staged(spark, components(spark, near), "jaccard-closer").select(F.col("node"), F.col("label").alias("cluster"))
     release(spark, rows)  # keys and signatures have done their work
 
     wanted = staged(spark, at.join(closer, "node"), "jaccard-wanted")
-    texts = source.select("place", "text").join(_dealt(wanted, num, den, TILE), "place").select("node", "cluster", "pairs", "text")
+    texts = source.select("place", "text").join(_dealt(wanted, num, den, TILE).hint("merge"), "place").select("node", "cluster", "pairs", "text")
     members = texts.mapInArrow(_set_bytes(k), f"node bigint, cluster bigint, pairs {_PAIRS}, hashes binary")
     links = _meetings(members, "hashes").groupBy("cluster", "t1", "t2").applyInPandas(_tile_edges(num, den), "a bigint, b bigint")
     groups = components(spark, links).select("node", "label")
@@ -404,11 +405,15 @@ def keep_one(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -
     """The rows of ``docs`` that bear the smallest id of their component, one
     row each; rows without words all stay. Columns unchanged."""
     _, named = _grouped(spark, docs, k, num, den)
-    rows = docs.withColumn("__place", F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string")))
-    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    winners = named.select(F.col("place").alias("__place")).distinct()
-    kept = rows.where(worded).join(winners, "__place", "left_semi").dropDuplicates(["__place"])
-    return kept.select(*docs.columns).unionAll(rows.where(~worded).select(*docs.columns))
+    # the row travels whole, so that no column of its own can clash
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).alias("place"),
+        F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("worded"),
+    )
+    winners = named.select("place").distinct()
+    kept = rows.where("worded").join(winners, "place", "left_semi").dropDuplicates(["place"])
+    return kept.select("row.*").unionAll(rows.where("not worded").select("row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
