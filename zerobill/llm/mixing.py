@@ -103,11 +103,13 @@ def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat:
     sizes = docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.sum(n_words(F.col("text"))).alias("source_size"))
     targets = source_targets(sizes, weights, max_repeat)
     rate = F.least(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)), F.lit(float(max_repeat)))
-    rates = targets.select(F.col("source").alias("__source"), rate.alias("__rate"))
-    whole = F.floor("__rate")
-    copies = whole + F.when(uniform(F.col("doc_id"), F.col("text"), seed=seed) < F.col("__rate") - whole, 1).otherwise(0)
-    joined = docs.join(rates, F.col("source").cast("string").eqNullSafe(F.col("__source")))
-    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select(*docs.columns)
+    rates = targets.select("source", rate.alias("rate")).alias("s")
+    # the row travels whole, so that no column of its own can clash
+    rows = docs.select(F.struct("*").alias("row"), F.col("source").cast("string").alias("source"), uniform(F.col("doc_id"), F.col("text"), seed=seed).alias("u")).alias("d")
+    whole = F.floor("rate")
+    copies = whole + F.when(F.col("u") < F.col("rate") - whole, 1).otherwise(0)
+    joined = rows.join(rates, F.col("d.source").eqNullSafe(F.col("s.source"))).select("row", copies.cast("int").alias("copies"))
+    return joined.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

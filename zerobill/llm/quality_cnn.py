@@ -213,7 +213,7 @@ def score_documents(docs: DataFrame, net: Network) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
 
 
-def keep_good(docs: DataFrame, net: Network, threshold: float = 0.5) -> DataFrame:
+def keep_good(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``threshold``, columns unchanged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -171,5 +171,5 @@ def numbered(spark: SparkSession, placed: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_documents(spark, table(spark, sf_dir, "documents"))
     return out.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("int").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
     )
