@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zerobill.llm import decontaminate, jaccard, mixing, quality_cnn, token_files
-from zerobill.llm.common import staged, table
+from zerobill.llm.common import table
+from zerobill.session import drop_path, scratch_path, scratch_scope
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,9 +57,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = staged(spark, docs, f"pipeline-{i}")
-    return docs
+    """What a stage stages for itself, and its input, go once its result is written."""
+    docs, last = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with scratch_scope(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        if last:
+            drop_path(spark, last)
+        docs, last = spark.read.schema(kept.schema).parquet(path), path
+    return STAGES[-1][1](spark, docs, sf_dir)
