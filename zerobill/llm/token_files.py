@@ -14,6 +14,8 @@ column type    content
 ====== ======= ===========================================================
 part   int     number of the sorted partition; blocks follow (part, block)
 block  int     number of the block in its partition
+before bigint  ids of the partition's blocks before
+n      bigint  ids of the block
 docs   binary  little-endian int64 ids of the block's documents
 known  binary  one byte a document: 0 where the id is null
 ends   binary  little-endian int64 running token counts of the block
@@ -45,7 +47,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zerobill.llm.common import staged, table, typed
@@ -204,50 +206,30 @@ def unpack(ctrl: bytes, data: bytes, n: int) -> np.ndarray:
     return raw.view(f"<u{width}").ravel()
 
 
-_BLOCK = "part int, block int, docs binary, known binary, ends binary"
+_BLOCK = "part int, block int, before bigint, n bigint, docs binary, known binary, ends binary, ctrl binary, data binary"
 
 
-def _ordered_blocks(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """Blocks of documents in ascending id order with their plain ids, and one
-    row a task with the counts of its ids."""
+def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """Each document's plain ids, and one row a task with the counts of its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        encode, part, block = WordEncoder(tokenizer, end_id), TaskContext.get().partitionId(), 0
-        names: list[int | None] = []
-        each: list[np.ndarray] = []
-        held = 0
+        encode = WordEncoder(tokenizer, end_id)
         total = np.zeros(len(encode.each), "<i8")
-        columns = ["part", "block", "docs", "known", "ends", "ids", "counts"]
-
-        def row() -> pa.RecordBatch:
-            nonlocal total
-            ids = np.concatenate(each)
-            total += np.bincount(ids, minlength=len(total))
-            known = np.array([i is not None for i in names], np.uint8)
-            ends = np.cumsum([len(r) for r in each]).astype("<i8")
-            values = [part, block, np.array([i or 0 for i in names], "<i8").tobytes(), known.tobytes(), ends.tobytes(), ids.tobytes(), None]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, [pa.int32()] * 2 + [pa.binary()] * 5)], columns)
-
+        columns = ["doc_id", "tie", "ids", "counts"]
         for batch in batches:
-            at, ids = 0, batch.column("doc_id").to_pylist()
+            at = 0
             for texts in _batches(batch.column("text")):
-                for got in encode(texts):
-                    if held and held + len(got) > BLOCK_TOKENS:
-                        yield row()
-                        names, each, held, block = [], [], 0, block + 1
-                    names.append(ids[at])
-                    each.append(got)
-                    held += len(got)
-                    at += 1
-        if names:
-            yield row()
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *[pa.nulls(1, t) for t in [pa.int32()] + [pa.binary()] * 4], pa.array([total.tobytes()], pa.binary())], columns)
+                got = encode(texts)
+                total += np.bincount(np.concatenate(got), minlength=len(total))
+                n = len(got)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).slice(at, n) for c in ("doc_id", "tie")] + [pa.array([i.tobytes() for i in got], pa.binary()), pa.nulls(n, pa.binary())], columns
+                )
+                at += n
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())], columns)
 
-    tie = F.xxhash64("text")
-    ordered = typed(docs, "doc_id", "text").repartitionByRange(F.col("doc_id"), tie).sortWithinPartitions("doc_id", tie)
-    return ordered.mapInArrow(run, f"{_BLOCK}, ids binary, counts binary")
+    rows = typed(docs, "doc_id", "text").select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    return rows.mapInArrow(run, "doc_id bigint, tie bigint, ids binary, counts binary")
 
 
 def frequency_ranks(counts: DataFrame) -> np.ndarray:
@@ -269,9 +251,10 @@ def frequency_ranks(counts: DataFrame) -> np.ndarray:
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
-    """Writes ``path``/blocks and ``path``/ranks. The texts are sorted and
-    encoded once; the plain ids are staged until their ranks are known."""
-    plain = staged(spark, _ordered_blocks(docs, tokenizer, end_id), "token-ids")
+    """Writes ``path``/blocks and ``path``/ranks. Texts are encoded where they
+    are read and their plain ids staged; only those, two bytes each, are
+    sorted, and become blocks of ranks in the task that sorts them."""
+    plain = staged(spark, _encoded(docs, tokenizer, end_id), "token-ids")
     order = frequency_ranks(plain.where(F.col("counts").isNotNull()).select("counts"))
     spark.createDataFrame(pd.DataFrame({"rank": np.arange(len(order)), "id": order}), "rank bigint, id bigint").write.parquet(f"{path}/ranks")
     rank_of = np.zeros(int(order.max(initial=0)) + 1, id_type(len(order), 0))
@@ -282,31 +265,47 @@ def write_token_files(spark: SparkSession, docs: DataFrame, path: str, tokenizer
     dtype = id_type(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, block, before, held = TaskContext.get().partitionId(), 0, 0, 0
+        names: list[int | None] = []
+        each: list[np.ndarray] = []
+
+        def row() -> pa.RecordBatch:
+            ends = np.cumsum([len(r) for r in each]).astype("<i8")
+            known = np.array([i is not None for i in names], np.uint8)
+            ctrl, data = pack(shared.value[np.concatenate(each)])
+            values = [part, block, before, held, np.array([i or 0 for i in names], "<i8").tobytes(), known.tobytes(), ends.tobytes(), ctrl, data]
+            kinds = [pa.int32()] * 2 + [pa.int64()] * 2 + [pa.binary()] * 5
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], [c.split()[0] for c in _BLOCK.split(", ")])
+
         for batch in batches:
-            for i in range(batch.num_rows):
-                ctrl, data = pack(shared.value[np.frombuffer(batch.column("ids")[i].as_py(), dtype)])
-                cols = [batch.column(c).slice(i, 1) for c in ("part", "block", "docs", "known", "ends")]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([ctrl], pa.binary()), pa.array([data], pa.binary())], ["part", "block", "docs", "known", "ends", "ctrl", "data"])
+            for name, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
+                got = np.frombuffer(ids.as_py(), dtype)
+                if held and held + len(got) > BLOCK_TOKENS:
+                    yield row()
+                    before, block = before + held, block + 1
+                    names, each, held = [], [], 0
+                names.append(name)
+                each.append(got)
+                held += len(got)
+        if names:
+            yield row()
 
-    blocks = plain.where(F.col("counts").isNull()).drop("counts")
-    blocks.mapInArrow(run, f"{_BLOCK}, ctrl binary, data binary").write.option("compression", "zstd").parquet(f"{path}/blocks")
+    rows = plain.where(F.col("counts").isNull()).select("doc_id", "tie", "ids")
+    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
+    ordered.mapInArrow(run, _BLOCK).write.option("compression", "zstd").parquet(f"{path}/blocks")
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document of a token folder."""
+    """(doc_id, start, n_tokens, ids) of every document of a token folder.
+
+    One number a sorted partition reaches the driver; blocks are decoded where
+    they are read.
+    """
     order = spark.read.parquet(f"{path}/ranks").orderBy("rank").toPandas()["id"].to_numpy(np.uint32)
     blocks = spark.read.parquet(f"{path}/blocks")
-
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            last = [int(np.frombuffer(e.as_py(), "<i8")[-1]) for e in batch.column("ends")]
-            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("block"), pa.array(last, pa.int64())], ["part", "block", "n"])
-
-    # One number a partition reaches the driver, and one a block within a partition's window.
-    counted = blocks.select("part", "block", "ends").mapInArrow(sizes, "part int, block int, n bigint")
-    before = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    inner = counted.withColumn("inner", F.coalesce(F.sum("n").over(before), F.lit(0))).select("part", "block", "inner")
-    per_part = counted.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").toPandas()
+    per_part = blocks.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").toPandas()
     base = dict(zip(per_part["part"], np.concatenate(([0], np.cumsum(per_part["n"].to_numpy(np.int64))))[:-1].tolist()))
     id_of = spark.sparkContext.broadcast((order, base))
 
@@ -321,14 +320,13 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 each = [ids[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())]
                 cols = [
                     pa.array(np.frombuffer(r["docs"], "<i8"), mask=known),
-                    pa.array(starts + base[r["part"]] + r["inner"], pa.int64()),
+                    pa.array(starts + base[r["part"]] + r["before"], pa.int64()),
                     pa.array(ends - starts, pa.int64()),
                     pa.array(each, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "start", "n_tokens", "ids"])
 
-    joined = blocks.join(inner, ["part", "block"])
-    return joined.mapInArrow(decode, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return blocks.mapInArrow(decode, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def token_files(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
