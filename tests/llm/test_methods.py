@@ -13,7 +13,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from zerobill.llm import decontaminate, html_extract, mixing, quality_cnn, sharding, toxicity
+from zerobill.llm import decontaminate, html_extract, mixing, quality_cnn, sharding, token_files, toxicity
 
 SMALL = "/root/testdata/sf0.001"
 ROOT = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
@@ -122,6 +122,15 @@ def test_short_last_sentences_do_not_decide(spark):
     assert decontaminate.question_and_answer(question + "yes.")[1] != "yes."
 
 
+def test_token_files_take_the_library_for_other_settings():
+    odd = ["Some Words, here", "a <|endoftext|> b c", "", None, "x  y\n\nz", "<|startoftext|>Word's end."]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public_tokenizers.path(name)
+        encode, tok = token_files.WordEncoder(path, 1), Tokenizer.from_file(path)
+        assert encode.by_word == (name == "word_bpe_49k.json")
+        assert [e.tolist() for e in encode(odd)] == [tok.encode(t or "", add_special_tokens=False).ids + [1] for t in odd]
+
+
 def test_shards_carry_size_crc_and_copies(spark):
     docs = small(spark, "documents")
     got = sharding.query(spark, SMALL)

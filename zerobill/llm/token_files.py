@@ -37,6 +37,7 @@ document of one block; an empty table gives an empty folder and no rows.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
 import struct
@@ -82,6 +83,19 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in visible else chr(0x100 + hidden.index(b)) for b in range(256)}
 
 
+#: The settings of a tokenizer file under which texts may be encoded word by word as below.
+WORD_SETTINGS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
 def id_type(vocabulary: int, end_id: int) -> np.dtype:
     return np.dtype("<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4")
 
@@ -91,7 +105,9 @@ class WordEncoder:
 
     The cache outlives a task where Spark reuses its Python worker. An unseen
     word of lower-case letters is one token to the splitter and goes to the
-    tokenizer's model at once; any other word takes the whole way.
+    tokenizer's model at once; any other word takes the whole way. This holds
+    for files with ``WORD_SETTINGS``; with any other file, and in a text that
+    holds a special token's string, the library encodes the whole text.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -100,11 +116,14 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        config = json.loads(self.tokenizer.to_str())
+        self.by_word = all(config.get(k) == v for k, v in WORD_SETTINGS.items()) and config["model"].get("end_of_word_suffix") == "</w>"
+        self.special = [t["content"] for t in config.get("added_tokens", [])]
         self.letters = _byte_letters()
         self.kinds = _byte_kinds()
         self.dtype = id_type(self.tokenizer.get_vocab_size(), end_id)
         self.each = [np.array([i], self.dtype).tobytes() for i in range(max(self.tokenizer.get_vocab_size(), end_id + 1))]
-        self.end = self.each[end_id]
+        self.end, self.end_id = self.each[end_id], end_id
         kept = sys.modules.setdefault("zerobill_word_cache", types.ModuleType("zerobill_word_cache"))
         self.kept: list[dict[str, bytes]] = kept.__dict__.setdefault("words", {}).setdefault((path, str(self.dtype)), [{}, {}])
         self.cache = self.kept[0]
@@ -139,7 +158,17 @@ class WordEncoder:
         # Some white space is enough of a boundary; the rest stays inside a word for the library to handle.
         return text.replace("\n", " ").split(" ")
 
+    def _library(self, text: str) -> np.ndarray:
+        return np.array([*self.tokenizer.encode(text, add_special_tokens=False).ids, self.end_id], self.dtype)
+
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        whole = [not self.by_word or any(s in t for s in self.special) for t in (t or "" for t in texts)]
+        if any(whole):
+            rest = iter(self._by_word([t for t, w in zip(texts, whole) if not w]))
+            return [self._library(t or "") if w else next(rest) for t, w in zip(texts, whole)]
+        return self._by_word(texts)
+
+    def _by_word(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [self._words(t or "") for t in texts]
         words = list(itertools.chain.from_iterable(split))
         found = list(map(self.cache.get, words))
