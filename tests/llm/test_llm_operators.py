@@ -76,6 +76,39 @@ def test_jaccard_large_cluster_is_tiled(spark, monkeypatch):
     assert got == brute_components(docs, 3, 80, 100)
 
 
+def test_jaccard_meetings_are_not_chained(spark, monkeypatch):
+    """Texts that drift apart share keys all along; only pairs whose bound allows it are closed."""
+    rng = np.random.default_rng(2)
+    docs, w = [], [f"w{i}" for i in range(80)]
+    for d in range(240):
+        for i in rng.integers(0, 80, int(rng.integers(1, 5))):
+            w[i] = f"e{d}x{i}"
+        docs.append((d, " ".join(w)))
+    monkeypatch.setattr(jaccard, "TILE", 8)
+    monkeypatch.setattr(jaccard, "SIGNATURE_TILE", 8)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    for num in (80, 90):
+        got = sorted(map(tuple, jaccard.join_documents(spark, df, 3, num, 100).collect()), key=str)
+        assert got == brute_components(docs, 3, num, 100)
+        assert len({c for _, _, c in got}) > 1
+
+
+def test_jaccard_bound_of_a_pair_is_the_tiles():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 300))).astype(np.uint64))
+        b = np.unique(np.concatenate((a[: int(rng.integers(0, len(a) + 1))], rng.integers(0, 1 << 63, int(rng.integers(0, 40))).astype(np.uint64))))
+        if not len(b):
+            continue
+        x, y = sorted((a, b), key=len)
+        n, sigs = np.array([len(x), len(y)]), [jaccard._signature(x), jaccard._signature(y)]
+        tiles = any(len(near) for _, near in jaccard._near(n, sigs, np.zeros(2, np.int64), 80, 100))
+        one = jaccard._may_link((len(x), len(y)), (sigs[0], sigs[1]), 80, 100)
+        assert one == tiles
+        common = len(np.intersect1d(x, y))
+        assert one or 100 * common < 80 * (len(x) + len(y) - common)
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 100)], "a bigint, b bigint")
     got = {r["node"]: r["label"] for r in components.components(spark, edges).collect()}

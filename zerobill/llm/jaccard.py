@@ -12,20 +12,23 @@ A document's set holds the 64-bit hashes of its distinct ``k``-word shingles
    near a band's lower end also enter the band below. A set with too many
    empty parts for this bound enters one key of its band instead. No link is
    lost, and texts that share a passage but little else have no common key.
-2. *Clusters.* Documents of a common key hang on its smallest; the connected
-   components of that are clusters, outside which there is no link.
-3. *Bounds.* Members of a cluster are dealt to tiles by size band and hash, and
-   a tile meets itself and those of its own and the next band. In a pair of
-   tiles, hashed bitmap signatures of two to four bits a hash bound every
-   overlap from above by bit counts. The components of the pairs that pass are
-   the clusters of the next step; only signatures are shuffled for it.
-4. *Intersections.* The clusters left are dealt to tiles in the same way, now
-   with their sets: what the bounds let through is decided by intersecting the
-   sorted arrays.
+2. *Hubs.* Sets meet under their keys only, and keys borne by the same sets are
+   one meeting. Every set of a meeting is first held against its smallest and
+   its largest: hashed bitmap signatures of two to four bits a hash bound the
+   overlap from above by bit counts. The pairs that pass are closed; a meeting
+   that lies in one of their components is done, however large it is.
+3. *Bounds.* The sets of a meeting that is left are dealt to tiles by size band
+   and hash, and a tile meets itself and those of its own and the next band,
+   with signatures. Nothing but pairs that pass is closed, so texts that share
+   a key and little else form no chains. The components are the clusters of the
+   next step; only signatures are shuffled for all this.
+4. *Intersections.* Clusters are dealt to tiles in the same way, now with their
+   sets: what the bounds let through is decided by intersecting the sorted
+   arrays.
 5. *Components* of the links, labelled with the smallest doc_id.
 
-In both steps pairs already connected are skipped, so a pair of tiles returns
-a forest, never all pairs.
+In tiles pairs already connected are skipped, so a pair of tiles returns a
+forest, never all pairs. Tiles of many small meetings share a task's frame.
 
 Equal sets are one node throughout, named by a 64-bit digest; they are merged
 per batch before keys are dealt, so a group of copies of any size costs a row
@@ -161,8 +164,11 @@ def _sets_and_keys(k: int, num: int, den: int, buckets: int):
     return run
 
 
-def _star_edges(frame: pd.DataFrame) -> pd.DataFrame:
-    """Edges from the smallest node of each key of a bucket to the others."""
+def _key_meetings(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of each key of a bucket that several nodes bear: the pairs (a, b) of its
+    smallest and of its largest node with the others, meeting 0, and where these
+    are not all its pairs a row (node, node, meeting) of each node. Keys of the
+    same nodes are one meeting."""
     fresh_task()
     key, node = [], []
     for names, packed in zip(frame["nodes"], frame["keys"]):
@@ -174,15 +180,26 @@ def _star_edges(frame: pd.DataFrame) -> pd.DataFrame:
         wide[:, :3] = raw[:, KEY_BYTES:]
         node.append(np.frombuffer(names, np.int64)[wide.view("<u8").ravel().astype(np.int64)])
     key, node = np.concatenate(key), np.concatenate(node)
-    order = np.argsort(key, kind="stable")
+    order = np.lexsort((node, key))
     key, node = key[order], node[order]
-    first = np.concatenate(([True], key[1:] != key[:-1]))
-    starts = np.flatnonzero(first)
+    new = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))  # a node's batches repeat its keys
+    key, node = key[new], node[new]
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     sizes = np.diff(np.append(starts, len(key)))
-    low = np.repeat(np.minimum.reduceat(node, starts), sizes)
-    edges = np.stack((low, node), axis=1)[low != node]
-    edges = np.unique(edges, axis=0) if len(edges) else edges
-    return pd.DataFrame({"a": edges[:, 0], "b": edges[:, 1]})
+    name = mix(np.add.reduceat(mix(node.view(np.uint64), 81), starts) + sizes.astype(np.uint64), 82).view(np.int64)
+    many = np.flatnonzero(sizes > 1)
+    name, once = np.unique(name[many], return_index=True)
+    starts, sizes = starts[many[once]], sizes[many[once]]
+    if not len(name):
+        return pd.DataFrame(columns=["a", "b", "meeting"], dtype=np.int64)
+    member = node[np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+    low, high = np.repeat(node[starts], sizes), np.repeat(node[starts + sizes - 1], sizes)
+    edges = np.concatenate((np.stack((low, member), axis=1), np.stack((member, high), axis=1)))
+    edges = np.unique(edges[edges[:, 0] != edges[:, 1]], axis=0)
+    wide = np.repeat(sizes > 3, sizes)
+    rest = np.stack((member[wide], member[wide], np.repeat(name, sizes)[wide]), axis=1)
+    out = np.concatenate((np.column_stack((edges, np.zeros(len(edges), np.int64))), rest))
+    return pd.DataFrame(out, columns=["a", "b", "meeting"])
 
 
 def _signature(u: np.ndarray) -> bytes:
@@ -218,11 +235,29 @@ def _near(n: np.ndarray, sigs: list[bytes], side: np.ndarray, num: int, den: int
             yield i, np.flatnonzero(allowed) + i + 1
 
 
-def bounded_links(node: np.ndarray, n: np.ndarray, sigs: list[bytes], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """A forest of the pairs of members of a pair of tiles that the bounds let through."""
+def _may_link(n: tuple[int, int], sigs: tuple[bytes, bytes], num: int, den: int) -> bool:
+    """Whether the bound of one pair allows a link."""
+    width = min(map(len, sigs)) // 8
+    x, y = (np.bitwise_or.reduce(np.frombuffer(s, np.uint64).reshape(-1, width), axis=0) for s in sigs)
+    bound = min(n[0] - int(np.bitwise_count(x & ~y).sum()), n[1] - int(np.bitwise_count(y & ~x).sum()))
+    return den * bound >= num * (n[0] + n[1] - bound)
+
+
+def _hub_links(num: int, den: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            ok = [_may_link((n1, n2), (s1, s2), num, den) for n1, n2, s1, s2 in zip(f["n1"].tolist(), f["n2"].tolist(), f["sig1"], f["sig2"])]
+            yield f.loc[ok, ["a", "b"]]
+
+    return run
+
+
+def bounded_links(node: np.ndarray, n: np.ndarray, sigs: list[bytes], side: np.ndarray, label: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """A forest of the pairs of members of a pair of tiles that the bounds let
+    through; members of one label are connected already."""
     order = np.argsort(n, kind="stable")
     n, node, side = n[order], node[order], side[order]
-    label = np.arange(len(n))
+    label = np.unique(label, return_inverse=True)[1][order]
     links = []
     for i, near in _near(n, [sigs[x] for x in order], side, num, den):
         near = near[label[near] != label[i]]
@@ -267,12 +302,20 @@ def tile_links(node: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num:
     return links
 
 
+def _pairs_of_tiles(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    if len(frame) >= TILE:
+        fresh_task()
+    frame = frame.drop_duplicates(["cluster", "t1", "t2", "node", "side"])
+    for at in frame.groupby(["cluster", "t1", "t2"], sort=False).indices.values():
+        yield frame.iloc[at]
+
+
 def _bounded_edges(num: int, den: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        if len(frame) >= SIGNATURE_TILE:
-            fresh_task()
-        frame = frame.drop_duplicates(["node", "side"])
-        links = bounded_links(frame["node"].to_numpy(np.int64), frame["n"].to_numpy(np.int64), frame["sig"].tolist(), frame["side"].to_numpy(np.int64), num, den)
+        links = []
+        for f in _pairs_of_tiles(frame):
+            node, n, side, label = (f[c].to_numpy(np.int64) for c in ("node", "n", "side", "label"))
+            links += bounded_links(node, n, f["sig"].tolist(), side, label, num, den)
         return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
 
     return run
@@ -280,11 +323,10 @@ def _bounded_edges(num: int, den: int):
 
 def _tile_edges(num: int, den: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        if len(frame) >= TILE:
-            fresh_task()
-        frame = frame.drop_duplicates(["node", "side"])
-        sets = [np.frombuffer(b, np.uint64) for b in frame["hashes"]]
-        links = tile_links(frame["node"].to_numpy(np.int64), sets, frame["side"].to_numpy(np.int64), num, den)
+        links = []
+        for f in _pairs_of_tiles(frame):
+            sets = [np.frombuffer(b, np.uint64) for b in f["hashes"]]
+            links += tile_links(f["node"].to_numpy(np.int64), sets, f["side"].to_numpy(np.int64), num, den)
         return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
 
     return run
@@ -307,7 +349,7 @@ _PAIRS = "array<struct<t1:string,t2:string,side:int>>"
 
 
 def _dealt(members: DataFrame, num: int, den: int, tile: int) -> DataFrame:
-    """Members (node, n, cluster, place) with ``pairs``: the pairs of tiles they meet in.
+    """Members (node, n, cluster and more) with ``pairs``: the pairs of tiles they meet in.
 
     A size band is one factor den / num wide, so links lie within a band or
     between neighbours. A cluster of one tile is compared whole.
@@ -344,13 +386,42 @@ def _dealt(members: DataFrame, num: int, den: int, tile: int) -> DataFrame:
     return (
         m.withColumn("at", at)
         .withColumn("pairs", F.when(F.col("tiles").isNull(), whole).otherwise(F.concat(within, up, down)).cast(_PAIRS))
-        .select("node", "n", "cluster", "place", "pairs")
+        .select(*members.columns, "pairs")
     )
 
 
-def _meetings(members: DataFrame, *payload: str) -> DataFrame:
-    """A row for each member and pair of tiles: (cluster, t1, t2, side, node) and the payload."""
-    return members.withColumn("p", F.explode("pairs")).select("cluster", "p.t1", "p.t2", "p.side", "node", *payload)
+def _met(members: DataFrame, frames: int, *payload: str):
+    """A row for each member and pair of tiles, (cluster, t1, t2, side, node) and
+    the payload, grouped into frames: a pair of tiles each, or a share of the
+    clusters that are one tile."""
+    frame = F.when(F.col("t1") == "", F.pmod(F.xxhash64("cluster"), F.lit(frames))).otherwise(F.xxhash64("cluster", "t1", "t2"))
+    rows = members.withColumn("p", F.explode("pairs")).select("cluster", "p.t1", "p.t2", "p.side", "node", *payload)
+    return rows.withColumn("frame", frame).groupBy("frame")
+
+
+def _candidates(spark: SparkSession, rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """(node, label): clusters closed over the pairs under a common key whose bound allows a link."""
+    keyed = rows.where(F.col("bucket").isNotNull()).select("bucket", "nodes", "keys")
+    met = staged(spark, keyed.groupBy("bucket").applyInPandas(_key_meetings, "a bigint, b bigint, meeting bigint"), "jaccard-met")
+    hubs = met.where(F.col("meeting") == 0).select("a", "b").distinct()
+    wanted = hubs.select(F.col("a").alias("node")).unionAll(hubs.select(F.col("b").alias("node"))).distinct()
+    # sort-merge joins at any size: the side that is wanted grows with the corpus
+    signed = rows.where(F.col("bucket").isNull()).select("place", "sig").join(nodes.join(wanted, "node").hint("merge"), "place")
+    signed = staged(spark, signed.groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig")), "jaccard-signed")
+
+    sized = signed.select("node", "n")
+    pairs = hubs.join(sized.toDF("a", "n1"), "a").join(sized.toDF("b", "n2"), "b").where(den * F.least("n1", "n2") >= num * F.greatest("n1", "n2"))
+    pairs = pairs.join(signed.select(F.col("node").alias("a"), F.col("sig").alias("sig1")).hint("merge"), "a")
+    pairs = pairs.join(signed.select(F.col("node").alias("b"), F.col("sig").alias("sig2")).hint("merge"), "b")
+    closed = staged(spark, components(spark, pairs.mapInPandas(_hub_links(num, den), "a bigint, b bigint")), "jaccard-hubs")
+
+    members = met.where(F.col("meeting") != 0).select(F.col("meeting").alias("cluster"), F.col("a").alias("node")).distinct()
+    members = staged(spark, members.join(closed, "node", "left").select("cluster", "node", F.coalesce("label", "node").alias("label")), "jaccard-members")
+    spans = members.groupBy("cluster").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("cluster")
+    left = staged(spark, members.join(spans, "cluster", "left_semi").join(sized, "node").select("node", "n", "cluster", "label"), "jaccard-left")
+    dealt = _dealt(left, num, den, SIGNATURE_TILE).join(signed.select("node", "sig").hint("merge"), "node")
+    near = _met(dealt, 1 + left.count() // SIGNATURE_TILE, "n", "label", "sig").applyInPandas(_bounded_edges(num, den), "a bigint, b bigint")
+    return staged(spark, components(spark, near.unionAll(closed.select("node", "label"))), "jaccard-closer").select("node", F.col("label").alias("cluster"))
 
 
 def _grouped(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
@@ -361,27 +432,20 @@ def _grouped(spark: SparkSession, docs: DataFrame, k: int, num: int, den: int) -
     source = typed(docs, "doc_id", "text").withColumn("place", F.xxhash64("doc_id", "text"))
     rows = staged(spark, source.select("doc_id", "place", "text").mapInArrow(_sets_and_keys(k, num, den, buckets), _KINDS), "jaccard-sets")
     sets = staged(spark, rows.where(F.col("bucket").isNull()).select("doc_id", "n", "node", "place"), "jaccard-rows")
-    stars = rows.where(F.col("bucket").isNotNull()).select("bucket", "nodes", "keys").groupBy("bucket").applyInPandas(_star_edges, "a bigint, b bigint")
-    clusters = staged(spark, components(spark, stars), "jaccard-clusters").select(F.col("node"), F.col("label").alias("cluster"))
-
-    # One row of each node in a cluster stands for it.
+    # One row of each node stands for it.
     nodes = staged(
         spark,
         sets.where(F.col("node").isNotNull()).groupBy("node", "n").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "place")).alias("low")),
         "jaccard-nodes",
     )
     at = nodes.select("node", "n", F.col("low.place").alias("place"))
-    wanted = staged(spark, at.join(clusters, "node"), "jaccard-wanted")
-    # sort-merge joins at any size: the side that is wanted grows with the corpus
-    signed = rows.where(F.col("bucket").isNull()).select("place", "sig").join(_dealt(wanted, num, den, SIGNATURE_TILE).hint("merge"), "place")
-    near = _meetings(signed, "n", "sig").groupBy("cluster", "t1", "t2").applyInPandas(_bounded_edges(num, den), "a bigint, b bigint")
-    closer = staged(spark, components(spark, near), "jaccard-closer").select(F.col("node"), F.col("label").alias("cluster"))
+    closer = _candidates(spark, rows, at, num, den)
     release(spark, rows)  # keys and signatures have done their work
 
     wanted = staged(spark, at.join(closer, "node"), "jaccard-wanted")
     texts = source.select("place", "text").join(_dealt(wanted, num, den, TILE).hint("merge"), "place").select("node", "cluster", "pairs", "text")
     members = texts.mapInArrow(_set_bytes(k), f"node bigint, cluster bigint, pairs {_PAIRS}, hashes binary")
-    links = _meetings(members, "hashes").groupBy("cluster", "t1", "t2").applyInPandas(_tile_edges(num, den), "a bigint, b bigint")
+    links = _met(members, 1 + wanted.count() // TILE, "hashes").applyInPandas(_tile_edges(num, den), "a bigint, b bigint")
     groups = components(spark, links).select("node", "label")
     release(spark)
 
