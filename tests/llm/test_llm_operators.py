@@ -289,13 +289,13 @@ def test_language_model(spark, edge_docs, no_docs, monkeypatch):
         want = sorted((str(d), out(d), len(ws), sum(c[w] > 0 for w in ws), n, round(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws), 4)) for (d, _), ws in zip(data, words))
         training = maxent.typed(docs, "doc_id", "text").where(~maxent.held_out(maxent.F.col("doc_id"), 10, 0)).na.fill({"text": ""})
         vocabulary = maxent.word_counts(training)
-        scored = rows(maxent.score_documents(spark, docs, maxent.train(spark, training, vocabulary), vocabulary))
+        scored = rows(maxent.score_documents(spark, docs, *maxent.train(spark, training, vocabulary), vocabulary))
         got = sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4)) for r in scored)
         assert got == want
         assert all(r["score"] < 0 for r in scored)
     assert sum(r["score"] for r in scored) > sum(r["base_score"] for r in scored)
     none = maxent.word_counts(no_docs.select("text"))
-    assert maxent.score_documents(spark, no_docs, maxent.train(spark, maxent.typed(no_docs, "doc_id", "text"), none), none).count() == 0
+    assert maxent.score_documents(spark, no_docs, *maxent.train(spark, maxent.typed(no_docs, "doc_id", "text"), none), none).count() == 0
 
 
 def test_shards(spark, edge_docs, no_docs):
@@ -326,6 +326,65 @@ def test_mixing(spark, edge_docs, no_docs):
     assert "Python" not in out._jdf.queryExecution().toString()
 
 
+def test_language_model_inside_classes(spark, edge_docs, monkeypatch):
+    """Weights of (two previous words, word) against plain dictionaries, over all contexts."""
+    monkeypatch.setattr(maxent, "HEAD", 400)
+    monkeypatch.setattr(maxent, "SHARE", 1)
+    fixed = spark.createDataFrame([(i, "a b c d a b c e a b c d") for i in range(6)] + [(9, "a b c d"), (10, "a b q")], "doc_id bigint, text string")
+    for docs in (edge_docs, fixed, documents(spark)):
+        training = maxent.typed(docs, "doc_id", "text").where(~maxent.held_out(maxent.F.col("doc_id"), 10, 0)).na.fill({"text": ""})
+        vocabulary = maxent.word_counts(training).persist()
+        model, features = maxent.train(spark, training, vocabulary)
+        plain = rows(maxent.score_documents(spark, docs, model, features.limit(0), vocabulary))
+        full = rows(maxent.score_documents(spark, docs, model, features, vocabulary))
+
+        def events(text):
+            words = [*WORD.findall(lower(text))]
+            data = " ".join(words).encode()
+            h, d = maxent._hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+            at = model.lookup(h)
+            for i, w in enumerate(words):
+                if at[i] < len(model.words):
+                    context = (words[i - 1] if i else None, words[i - 2] if i > 1 else None, int(model.classes[at[i]]))
+                    yield context, w, 10 ** model.inside[at[i]]
+
+        seen = Counter((k, w) for r in training.collect() for k, w, _ in events(r["text"]))
+        n, t = Counter(), Counter()
+        for (k, _), times in seen.items():
+            n[k] += times
+            t[k] += 1
+        assert features.count() == sum(x > 1 for x in seen.values()) + sum(n[k] > t[k] for k in n)
+        by_text = {}
+        for r in docs.collect():
+            by_text.setdefault(r["doc_id"], []).append(sum(math.log10((max(seen[k, w] - 1, 0) + t[k] * p) / (n[k] * p)) for k, w, p in events(r["text"]) if k in n))
+        got = {}
+        for a, b in zip(sorted(plain, key=lambda r: (str(r["doc_id"]), r["score"])), sorted(full, key=lambda r: (str(r["doc_id"]), r["score"]))):
+            got.setdefault(a["doc_id"], [0.0, 0.0])
+            got[a["doc_id"]][0] += b["score"] - a["score"]
+            got[a["doc_id"]][1] += sum(by_text[a["doc_id"]]) / len(by_text[a["doc_id"]])
+        assert all(abs(x - y) < 1e-3 for x, y in got.values())
+        # P sums to one inside each class, whatever the context
+        own = {}
+        for w, c, p in zip(model.words.tolist(), model.classes.tolist(), (10 ** model.inside).tolist()):
+            own.setdefault(c, []).append(p)
+        assert all(abs(sum(x) - 1) < 1e-6 for c, x in own.items() if c != maxent.REST)
+    vocabulary = spark.createDataFrame([(i, 5 if i < 200 else 9 if i == 999 else 1) for i in range(1000)], "w bigint, c bigint")
+    assert [r["w"] for r in maxent._head(vocabulary).collect()] == [999, *range(200), *range(200, 399)]
+    wide = spark.createDataFrame([(((i * 7919) % 1000 - 500) << 53, 2) for i in range(1000)], "w bigint, c bigint")
+    assert [r["w"] for r in maxent._head(wide).collect()] == sorted(r["w"] for r in wide.collect())[:400]
+
+
+def test_language_model_knows_texts_that_occur_twice(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(200, size=300)) for _ in range(120)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:15])], "doc_id bigint, text string")
+    training = docs.where(~maxent.held_out(maxent.F.col("doc_id"), 10, 0))
+    vocabulary = maxent.word_counts(training).persist()
+    got = {r["doc_id"]: r["score"] / r["n_tokens"] for r in rows(maxent.score_documents(spark, docs, *maxent.train(spark, training, vocabulary), vocabulary)) if not r["held_out"]}
+    both = [i for i in range(15) if i in got and i + 120 in got]
+    assert both and min(got[i] for i in both) > max(got[i] for i in range(15, 120) if i in got)
+
+
 def test_html_extract(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     model = html_extract.fit(pages)
