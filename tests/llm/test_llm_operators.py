@@ -374,6 +374,33 @@ def test_language_model_inside_classes(spark, edge_docs, monkeypatch):
     assert [r["w"] for r in maxent._head(wide).collect()] == sorted(r["w"] for r in wide.collect())[:400]
 
 
+def test_language_model_learns_kinds_from_all_texts(spark):
+    """Few kinds are found in short texts alone, others in texts over 32 KB; every training text counts in its kind's centre."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"{'ac'[k % 2]}{x}" for x in rng.integers(50, size=12 + k)) for k in range(30)] * 60
+    texts += [" ".join(f"b{x}" for x in rng.integers(50, size=12_000)) for _ in range(9)] * 20 + ["", "rare"]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string")
+    training = docs.where(~maxent.held_out(maxent.F.col("doc_id"), 10, 0))
+    vocabulary = maxent.word_counts(training).persist()
+    model, _ = maxent.train(spark, training, vocabulary)
+    data = [r["text"].encode() for r in training.collect()]
+    h, d = maxent._hashes(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    anchors = model.words[model.rank[: maxent.ANCHORS]]
+    x = np.zeros((len(data), maxent.ANCHORS))
+    for i, own in enumerate(x):
+        own[: len(anchors)] = np.sqrt((h[d[i] : d[i + 1], None] == anchors).sum(axis=0))
+        own /= max(1.0, np.linalg.norm(own))
+    kind = np.argmax(x @ model.centres.T, axis=1)
+    first = np.array([t[:1] for t in data])
+    kinds = [set(kind[first == c]) for c in (b"a", b"b", b"c")]
+    assert all(kinds) and len(set.union(*kinds)) == sum(map(len, kinds))
+    for k in set.union(*kinds):
+        mean = x[kind == k].sum(axis=0)
+        assert np.abs(model.centres[k] - mean / np.linalg.norm(mean)).max() < 1e-3
+    again, _ = maxent.train(spark, training.repartition(7), vocabulary)
+    assert np.array_equal(model.centres, again.centres)
+
+
 def test_language_model_knows_texts_that_occur_twice(spark):
     rng = np.random.default_rng(3)
     texts = [" ".join(f"w{x}" for x in rng.integers(200, size=300)) for _ in range(120)]
