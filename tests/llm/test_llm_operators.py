@@ -444,4 +444,4 @@ def test_html_extract_of_deep_pages(spark):
 
 
 def test_registered():
-    assert {q.split("_")[0] for q in queries.queries()} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {q.split("_")[0] for q in queries.queries()} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
