@@ -265,6 +265,60 @@ def test_nearest_examples_are_exact():
     np.testing.assert_allclose(np.maximum(sim, 0), np.maximum(want, 0), atol=1e-5)
 
 
+def test_toxicity_splits_words_once_and_multiplies_many_texts_together(monkeypatch):
+    """Each text's words are split and hashed once; the full lists are read once for 1,024 texts. Cosines as from plain counts."""
+    texts = [f"both w{i % 40} W{i % 7}, w{i % 7} new{i % 3}" if i % 5 else ("" if i % 2 else f"new{i} newer") for i in range(1500)]
+    terms = {w: toxicity.bare_hashes(toxicity.split_words(*toxicity.utf8(toxicity.pa.array([w])), lower=True))[0] for w in ["both", *(f"w{j}" for j in range(40))]}
+    order = np.argsort(np.array([*terms.values()], np.uint64))
+    at = {[*terms][k]: place for place, k in enumerate(order)}
+    weights, other = np.linspace(0.5, 2, 41), 0.7
+
+    def vector(text):
+        counts = {}
+        for w in text.lower().replace(",", "").split():
+            counts[w] = counts.get(w, 0) + 1
+        v, rest = np.zeros(41), 0.0
+        for w, c in counts.items():
+            if w in at:
+                v[at[w]] = (1 + math.log(c)) * weights[at[w]]
+            else:
+                rest += ((1 + math.log(c)) * other) ** 2
+        return v / math.sqrt((v**2).sum() + rest) if v.any() else v
+
+    vectors = np.array([vector(t) for t in texts])
+    some = np.flatnonzero(vectors.any(axis=1))[:300]
+    hashes = np.sort(np.array([*terms.values()], np.uint64))
+    model = toxicity.NearestExamples(hashes, weights, other, toxicity.Vectors.of(vectors[some]), (some % 2).astype(float), some)
+    calls = {"split": 0, "product": 0}
+
+    class Counted(np.ndarray):
+        def __array_ufunc__(self, ufunc, method, *inputs, **kw):
+            calls["product"] += ufunc is np.matmul
+            return getattr(ufunc, method)(*(np.asarray(x) for x in inputs), **kw)
+
+    def split(*args, whole=toxicity.split_words, **kw):
+        calls["split"] += 1
+        return whole(*args, **kw)
+
+    model.index.lists = model.index.lists._replace(full=model.index.lists.full.view(Counted))
+    monkeypatch.setattr(toxicity, "split_words", split)
+    _, sim, near = model.score(*toxicity.utf8(toxicity.pa.array(texts)), (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
+    assert calls == {"split": 1, "product": 2}
+    want = (vectors @ vectors[some].T).max(axis=1)
+    np.testing.assert_allclose(np.nan_to_num(sim), want, atol=1e-5)
+    assert ((near >= 0) == (want > 0)).all()
+
+
+def test_places_of_hashes():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 3, 1000):
+        terms = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        terms = np.unique(np.concatenate((terms, terms[: n // 2] + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)[:n])))  # some share their leading bits
+        place = {t: i for i, t in enumerate(terms.tolist())}
+        h = np.concatenate((terms, terms + np.uint64(1), rng.integers(0, 2**64, 500, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)))
+        assert toxicity.Places(terms).find(h).tolist() == [place.get(x, -1) for x in h.tolist()]
+
+
 def test_toxicity_uses_every_word_of_the_examples(spark):
     ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != 2]
     texts = [("zork", 1)] * 3 + [(f"bad b{i}", 1) for i in range(40)] + [(f"fine {' '.join(f'f{i}x{j}' for j in range(9))}", 0) for i in range(160)]
