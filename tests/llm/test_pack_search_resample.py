@@ -150,6 +150,26 @@ def test_encoder_equals_the_library():
         assert encode(t).tolist() == tok.encode(t, add_special_tokens=False).ids + [1]
 
 
+def test_encoder_batches_equal_the_library():
+    encode, tok = packing.TextEncoder(TOKENIZER, 1), Tokenizer.from_file(TOKENIZER)
+    random.seed(6)
+    words = ["", "a", "it's", "'s", "b\n", "\nc", "d.\ne", "é", "漢", "\x1c", "\xa0f", "12", "<|endoftext|>", "\u3000", "x" * 100]
+    texts = [None, "", " ", "\n", " a", "a ", "a\n", " a  b ", "a \n b", "a\n b"] + [" ".join(random.choices(words, k=random.randint(0, 9))) for _ in range(3000)]
+    got = encode.batch(texts)
+    assert [g.tolist() for g in got] == [tok.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    assert encode.batch([]) == [] and encode.ranked is not None
+
+
+def test_encoder_meets_a_word_once_a_run():
+    encode, seen = packing.TextEncoder(TOKENIZER, 1), []
+    encode("start")
+    fast = encode._fast
+    encode._fast = lambda text: seen.append(len(text)) or fast(text)
+    texts = ["some words that come back " * 50] * 40
+    assert [len(i) for i in encode.batch(texts)] == [len(fast(t)) + 1 for t in texts]
+    assert sum(seen) < 1000 < sum(map(len, texts))
+
+
 def test_encoder_takes_the_library_for_another_kind_of_file():
     path = public_tokenizers.path("word_bpe_49k.json")
     encode, tok = packing.TextEncoder(path, 1), Tokenizer.from_file(path)
