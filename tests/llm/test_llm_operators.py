@@ -1,6 +1,7 @@
 """Every operator on edge rows and empty tables, and against brute force on sf0.001 / sf0.01."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -194,6 +195,37 @@ def test_word_encoder_equals_the_library():
         assert e([text])[0].tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids + [1]
 
 
+def test_word_encoder_runs_equal_the_library():
+    import public_tokenizers
+
+    e, r = token_files.WordEncoder(public_tokenizers.path(token_files.TOKENIZER), 1), random.Random(6)
+    words = ["", "a", "It's", "b,", "c.", "°,", "«d».", "é,", "É", "İ,", "§.", "×,", "\x00,", "\x7f.", "\x85", "\xa0e", "\x1c", "ɀ", "漢,", "\n", "12.5", "f!?", "<|endoftext|>", "x" * 99]
+    texts = [None, "", " ", "\n", ","] + [" ".join(r.choices(words, k=r.randint(1, 6))) for _ in range(3000)]
+    for _ in range(2):  # new words, then kept ones
+        assert [i.tolist() for i in e(texts)] == [e.tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    assert e([]) == []
+
+
+def test_model_meets_a_word_once(monkeypatch):
+    import public_tokenizers
+
+    e, met = token_files.WordEncoder(public_tokenizers.path(token_files.TOKENIZER), 1), []
+
+    class Model:
+        def encode(self, text, real=e.model, **kw):
+            met.extend(text.split(token_files.BREAK))
+            return real.encode(text, **kw)
+
+    monkeypatch.setattr(e, "model", Model())
+    monkeypatch.setattr(e, "kept", {})
+    monkeypatch.setattr(token_files, "MODEL_WORDS", 2)
+    monkeypatch.setattr(token_files, "KEPT_WORDS", 5)
+    for texts in (["alpha beta, gamma", "beta; alpha delta!"] * 9, ["delta epsilon"], ["zeta eta theta delta"], ["alpha zeta"]):
+        assert [i.tolist() for i in e(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    # eight words are more than are kept: those of the third run remain
+    assert sorted(met) == sorted("alpha beta gamma delta epsilon zeta eta theta alpha".split())
+
+
 @pytest.mark.parametrize("ranks", [[], [0], [255, 256, 65535], [65536, 1, 1 << 24, (1 << 32) - 1, 7]])
 def test_pack_round_trip(ranks):
     x = np.array(ranks, np.uint32)
